@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -47,13 +48,10 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found or [])
 
 
-def files_below(spark: SparkSession, directory: str) -> list[str]:
-    """All files below a directory, whose name is taken literally."""
-    found = []
-    files = _fs(spark, directory).listFiles(_path(spark, directory), True)
-    while files.hasNext():
-        found.append(files.next().getPath().toString())
-    return found
+def glob_below(spark: SparkSession, directory: str, pattern: str) -> list[str]:
+    """Paths below a directory matching a pattern; the directory itself is taken literally."""
+    literal = re.sub(r"([\\{}\[\]*?])", r"\\\1", directory)
+    return glob(spark, f"{literal}/{pattern}")
 
 
 def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:

@@ -173,7 +173,7 @@ def _write(
     rows = sharded.select("value", file.alias(FILE))
     spread(rows, FILE).write.partitionBy(FILE).text(staging)
     try:
-        moves = _targets(spark, _staged_files(spark, staging), path)
+        moves = _targets(spark, hadoop.glob_below(spark, staging, f"{FILE}=*/part-*"), path)
         if not replace:
             _refuse_existing(spark, [target for _, target in moves])
         hadoop.replace_all(spark, moves)
@@ -182,10 +182,6 @@ def _write(
     return sorted(target for _, target in moves)
 
 
-def _staged_files(spark: SparkSession, staging: str) -> list[str]:
-    return [f for f in hadoop.files_below(spark, staging) if f"/{FILE}=" in f]
-
-
 def _targets(
     spark: SparkSession,
     staged: list[str],

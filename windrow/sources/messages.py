@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.avro.functions import from_avro
 
 from windrow import hadoop
 from windrow.schemas import avro_to_struct
@@ -58,11 +57,12 @@ def decode_messages(
 ) -> DataFrame:
     """Add the decoded ``record`` and the flag ``_bad`` for payloads that do not decode.
 
-    The codec is ``json``, or ``avro`` where Spark's Avro module is on the class path.
+    The codec is ``json``, or ``avro`` where the session has Spark's Avro module; without
+    it Spark refuses the plan.
     """
     struct = avro_to_struct(avro_schema)
     if codec == AVRO:
-        decoded = _from_avro(value, avro_schema)
+        decoded = from_avro(F.col(value), avro_schema, {"mode": "PERMISSIVE"})
         return df.withColumn(RECORD, decoded).withColumn(BAD, F.col(RECORD).isNull())
     if codec != JSON:
         raise ValueError(f"codec must be {JSON} or {AVRO}, not {codec}")
@@ -87,15 +87,6 @@ def _with_defaults(record: Column, struct: T.StructType) -> Column:
     return F.struct(*fields)
 
 
-def _from_avro(value: str, avro_schema: str) -> Column:
-    from pyspark.sql.avro.functions import from_avro
-
-    try:
-        return from_avro(F.col(value), json.dumps(json.loads(avro_schema)), {"mode": "PERMISSIVE"})
-    except TypeError as missing:
-        raise ImportError("the avro codec needs the spark-avro module") from missing
-
-
 def read_typed_messages(
     spark: SparkSession,
     fmt: str,
