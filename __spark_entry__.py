@@ -161,10 +161,10 @@ def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(value.alias("value"), F.col("ts").cast("timestamp").alias("ts"))
 
 
-def _with_closing_row(rows: DataFrame) -> DataFrame:
-    """Append one empty message a day after the last, so that every real window ends."""
+def with_closing_row(rows: DataFrame, payload: str = "") -> DataFrame:
+    """Append one message a day after the last, so that every real window ends."""
     last = rows.agg(F.max("ts").alias("ts"))
-    closing = last.select(F.lit("").alias("value"), F.expr("ts + INTERVAL 1 DAY").alias("ts"))
+    closing = last.select(F.lit(payload).alias("value"), F.expr("ts + INTERVAL 1 DAY").alias("ts"))
     return rows.unionByName(closing)
 
 
@@ -521,7 +521,7 @@ def q_finalize_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "stream")
     source, out = hadoop.join(base, "in"), hadoop.join(base, "out")
-    _with_closing_row(messages(spark, sf_dir)).write.parquet(source)
+    with_closing_row(messages(spark, sf_dir)).write.parquet(source)
     stream = read_messages(
         spark, "parquet", {"path": source}, "value string, ts timestamp", time="ts"
     )
@@ -541,11 +541,8 @@ def q_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "records")
     source, out, dead = (hadoop.join(base, d) for d in ("in", "out", "dead"))
-    rows = _with_closing_row(typed_messages(spark, sf_dir))
-    closing = '{"event_id":-1,"user_id":-1}'
-    rows.select(
-        F.when(F.col("value") == "", closing).otherwise(F.col("value")).alias("value"), "ts"
-    ).write.parquet(source)
+    rows = with_closing_row(typed_messages(spark, sf_dir), '{"event_id":-1,"user_id":-1}')
+    rows.write.parquet(source)
     stream = read_messages(
         spark, "parquet", {"path": source}, "value string, ts timestamp", time="ts"
     )
