@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from windrow.operators.skew import (
-    COPIES,
+    COPY,
     MAX_GROUP_ROWS,
-    PIECE,
     SLICES,
-    fold_copies,
     heavy_keys,
+    number_copies,
     slice_of,
     spread,
     with_slices,
@@ -67,10 +66,8 @@ def _series_fn(fn: Callable[..., pd.Series], returns: DataType | str):
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
-    pieces = with_slices(fold_copies(df), keys, heavy)
-    placed = pieces.withColumn("_slice", slice_of([*df.columns, PIECE], F.col(SLICES)))
-    copy = F.explode(F.sequence(F.lit(1), F.col(COPIES)))
-    return placed.withColumn("_copy", copy).select(*df.columns, "_slice")
+    rows = with_slices(number_copies(df), keys, heavy)
+    return rows.select(*df.columns, slice_of([*df.columns, COPY], F.col(SLICES)).alias("_slice"))
 
 
 def group_fn(

@@ -60,11 +60,12 @@ def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
     if not moves:
         return
     fs = _fs(spark, moves[0][1])
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for parent in {target.rsplit("/", 1)[0] for _, target in moves}:
-        fs.mkdirs(_path(spark, parent))
+        fs.mkdirs(to_path(parent))
 
     def move(pair: tuple[str, str]) -> None:
-        source, target = (_path(spark, p) for p in pair)
+        source, target = to_path(pair[0]), to_path(pair[1])
         fs.delete(target, False)
         if not fs.rename(source, target):
             raise OSError(f"could not rename {pair[0]} to {pair[1]}")

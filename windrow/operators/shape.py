@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from windrow.functions.scalars import field, split_commas, to_int
 from windrow.operators.filter import drop_malformed
-from windrow.schemas import DELIVERY, MATCH, MATCH_FIELDS, MATCH_OUT, MATCH_SKIPPED, SCORE_OUT
+from windrow.schemas import DELIVERY, MATCH_FIELDS, MATCH_OUT, MATCH_SKIPPED, SCORE_OUT
 
 FAILFAST = "FAILFAST"
 DROPMALFORMED = "DROPMALFORMED"
@@ -55,23 +55,26 @@ def _well_formed(value: Column, schema: T.StructType) -> Column:
 def _parse(
     df: DataFrame,
     schema: T.StructType,
-    keep: Sequence[Column],
+    keep: Sequence[tuple[int, Column]],
     mode: str,
     value: str,
     observation: Observation | None,
 ) -> DataFrame:
     ok = _well_formed(F.col(value), schema)
+    first = max(position for position, _ in keep) + 1
+    cols = split_commas(value, first if first < len(schema) else None)
+    items = [item for _, item in keep]
     if mode == FAILFAST:
         message = F.concat(F.lit("malformed line: "), F.coalesce(F.col(value), F.lit("null")))
         checked = df.where(F.when(ok, True).otherwise(F.raise_error(message).cast("boolean")))
-        return checked.withColumn("cols", split_commas(value)).select(*keep)
+        return checked.withColumn("cols", cols).select(*items)
     if mode == DROPMALFORMED:
-        kept = drop_malformed(df, ok, observation)
-        return kept.withColumn("cols", split_commas(value)).select(*keep)
+        return drop_malformed(df, ok, observation).withColumn("cols", cols).select(*items)
     if mode == PERMISSIVE:
         marked = df.withColumn(CORRUPT, F.when(~ok, F.col(value)))
-        cols = F.when(F.col(CORRUPT).isNull(), split_commas(value))
-        return marked.withColumn("cols", cols).select(*keep, CORRUPT)
+        return marked.withColumn("cols", F.when(F.col(CORRUPT).isNull(), cols)).select(
+            *items, CORRUPT
+        )
     raise ValueError(f"mode must be {FAILFAST}, {DROPMALFORMED} or {PERMISSIVE}, not {mode}")
 
 
@@ -80,18 +83,21 @@ def parse_delivery(
     mode: str = FAILFAST,
     value: str = "value",
     observation: Observation | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Delivery lines to 18 typed columns; by default any bad line fails the job.
 
-    The check is a filter on the whole line, so it also covers columns that a
-    later projection prunes away.
+    The check is a filter on the whole line, so it also covers columns that are
+    not asked for, or that a later projection prunes away. With ``columns`` the
+    line is cut no further than the last of them.
     """
     keep = []
     for i, f in enumerate(DELIVERY.fields):
         item = F.get("cols", i)
         if f.dataType == T.IntegerType():
             item = item.try_cast("int")
-        keep.append(item.alias(f.name))
+        if columns is None or f.name in columns:
+            keep.append((i, item.alias(f.name)))
     return _parse(df, DELIVERY, keep, mode, value, observation)
 
 
@@ -100,21 +106,25 @@ def parse_match(
     mode: str = DROPMALFORMED,
     value: str = "value",
     observation: Observation | None = None,
+    columns: Sequence[str] | None = None,
     extras: bool = False,
 ) -> DataFrame:
     """Match lines to text columns; by default lines that are too short are dropped.
 
-    ``extras`` adds the match date (month/day/two-digit year) and the result
-    margin, where ``NA`` counts as 0.
+    ``columns`` works as for deliveries. ``extras`` adds the match date
+    (month/day/two-digit year) and the result margin, where ``NA`` counts as 0.
     """
     lines = T.StructType([T.StructField(n, T.StringType()) for n in MATCH_FIELDS])
-    keep = [F.get("cols", MATCH_FIELDS.index(f.name)).alias(f.name) for f in MATCH.fields]
+    keep = []
+    for i, name in enumerate(MATCH_FIELDS):
+        if name not in MATCH_SKIPPED and (columns is None or name in columns):
+            keep.append((i, F.get("cols", i).alias(name)))
     if extras:
-        date, margin = (F.get("cols", MATCH_FIELDS.index(n)) for n in MATCH_SKIPPED)
-        keep.append(F.try_to_date(date, "MM/dd/yy").alias("match_date"))
-        keep.append(
-            F.when(F.lower(margin) == "na", 0).otherwise(to_int(margin)).alias("result_margin")
-        )
+        at_date, at_margin = (MATCH_FIELDS.index(n) for n in MATCH_SKIPPED)
+        date, margin = F.get("cols", at_date), F.get("cols", at_margin)
+        keep.append((at_date, F.try_to_date(date, "MM/dd/yy").alias("match_date")))
+        number = F.when(F.lower(margin) == "na", 0).otherwise(to_int(margin))
+        keep.append((at_margin, number.alias("result_margin")))
     return _parse(df, lines, keep, mode, value, observation)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,15 @@ def outs_lines(lines: DataFrame) -> DataFrame:
 
 
 def joined_match_runs(
-    deliveries: DataFrame, matches: DataFrame, on_violation: str = ERROR
+    deliveries: DataFrame,
+    matches: DataFrame,
+    on_violation: str = ERROR,
+    match_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Runs per match and batsman, each row with its match nested in it."""
-    runs = sum_runs_by_match_batsman(parse_delivery(deliveries))
-    return lookup_join_strict(runs, parse_match(matches), "id", on_violation)
+    scores = parse_delivery(deliveries, columns=["id", "batsman", "batsman_runs"])
+    lookup = parse_match(matches, columns=match_columns)
+    return lookup_join_strict(sum_runs_by_match_batsman(scores), lookup, "id", on_violation)
 
 
 def match_batsman_runs(
@@ -51,8 +57,9 @@ def match_batsman_runs(
     Every match id must have one match line. The nested match is left unset
     unless ``include_match`` is given.
     """
-    joined = joined_match_runs(deliveries, matches, on_violation)
-    return to_nested_record(joined) if include_match else to_flat_record(joined)
+    if include_match:
+        return to_nested_record(joined_match_runs(deliveries, matches, on_violation))
+    return to_flat_record(joined_match_runs(deliveries, matches, on_violation, ["id"]))
 
 
 def match_lines(joined: DataFrame) -> DataFrame:

@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from windrow import hadoop
 from windrow.operators.skew import (
-    COPIES,
-    PIECE,
+    COPY,
     SLICES,
-    fold_copies,
     heavy_keys,
+    number_copies,
     slice_of,
     spread,
     with_slices,
@@ -32,6 +31,7 @@ from windrow.sinks import names
 ROWS_PER_SHARD = 5_000_000
 
 FILE = "_file"
+COMMIT_IN_TASKS = "mapreduce.fileoutputcommitter.algorithm.version"
 
 
 def shard_lines(
@@ -41,23 +41,25 @@ def shard_lines(
 
     With a number, every window has that many shards at most. With None each
     window gets as many as its rows need. Copies of a row spread over the
-    shards like other rows.
+    shards like other rows, by the ``_copy`` number of finished stream windows
+    or else by one given here.
     """
     if num_shards is not None and num_shards < 1:
         raise ValueError("num_shards must be at least 1")
     if num_shards == 1:
         return df.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
-    if num_shards is not None:
-        counted = fold_copies(df).withColumn("shards", F.lit(num_shards))
-    else:
+    heavy = None
+    if num_shards is None:
         heavy = heavy_keys(df, ["window"], rows_per_shard)
         if heavy is None:
             return df.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
-        counted = with_slices(fold_copies(df), ["window"], heavy)
-        counted = counted.withColumnRenamed(SLICES, "shards")
-    rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(COPIES))))
-    place = slice_of(["ts", "value", PIECE, "_copy"], F.col("shards"))
-    return rows.select(*df.columns, place.alias("shard"), "shards")
+    rows = df if COPY in df.columns else number_copies(df)
+    if heavy is None:
+        sharded = rows.withColumn("shards", F.lit(num_shards))
+    else:
+        sharded = with_slices(rows, ["window"], heavy).withColumnRenamed(SLICES, "shards")
+    place = slice_of(["ts", "value", COPY], F.col("shards"))
+    return sharded.select(*df.columns, place.alias("shard"), "shards")
 
 
 def write_windowed_text(
@@ -162,7 +164,8 @@ def _write(
     label = uuid.uuid4().hex if batch_id is None else f"batch-{batch_id}"
     staging = hadoop.join(staging_base, "_staging", label)
     hadoop.delete(spark, staging)
-    sharded = shard_lines(df.select("value", "ts", "window"), num_shards, rows_per_shard)
+    needed = [c for c in ("value", "ts", "window", COPY) if c in df.columns]
+    sharded = shard_lines(df.select(*needed), num_shards, rows_per_shard)
     file = F.concat_ws(
         "_",
         F.unix_micros(F.col("window.start")),
@@ -171,7 +174,9 @@ def _write(
         "shards",
     )
     rows = sharded.select("value", file.alias(FILE))
-    spread(rows, FILE).write.partitionBy(FILE).text(staging)
+    # Tasks commit straight into staging; the renames below are the real commit.
+    writer = spread(rows, FILE).write.option(COMMIT_IN_TASKS, "2")
+    writer.partitionBy(FILE).text(staging)
     try:
         moves = _targets(spark, hadoop.glob_below(spark, staging, f"{FILE}=*/part-*"), path)
         if not replace:

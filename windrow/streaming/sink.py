@@ -23,7 +23,14 @@ def windowed_sink(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_windowed_text(batch, directory, batch_id=batch_id, **naming)
+        counted_first = naming.get("num_shards", 1) is None
+        if counted_first:
+            batch.persist()
+        try:
+            write_windowed_text(batch, directory, batch_id=batch_id, **naming)
+        finally:
+            if counted_first:
+                batch.unpersist()
 
     writer = finished.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.operators.skew import COPIES, fold_copies
+from windrow.operators.skew import COPY, number_copies
 
 WINDOW_LENGTH = "1 minute"
 
@@ -30,17 +30,19 @@ def tumbling_window(df: DataFrame, length: str = WINDOW_LENGTH, time: str = "ts"
 def finalize_window(
     df: DataFrame, length: str = WINDOW_LENGTH, delay: str = "0 seconds"
 ) -> DataFrame:
-    """``value, ts`` rows of finished windows, each row once; late rows are dropped.
+    """``value, ts, window`` rows of finished windows, each once; late rows are dropped.
 
     The state has one entry per distinct row of the open windows, with its number
     of copies. So it spreads over all tasks however full one window is, no list
-    is built or rewritten, and copies are combined before the shuffle.
+    is built or rewritten, and copies are combined before the shuffle. The
+    column ``_copy`` numbers equal rows.
     """
     timed = df.select("value", F.col("ts").cast("timestamp").alias("ts"))
+    # The time goes into the state as a number, so that the window is the only event time.
     windowed = timed.withWatermark("ts", delay).select(
-        "value", F.window("ts", window_length(length)).alias("window"), F.unix_micros("ts").alias("_at")
+        "value",
+        F.unix_micros("ts").alias("_at"),
+        F.window("ts", window_length(length)).alias("window"),
     )
-    rows = fold_copies(windowed).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col(COPIES)))
-    )
-    return rows.select("value", F.timestamp_micros("_at").alias("ts"), "window")
+    time = F.timestamp_micros("_at").alias("ts")
+    return number_copies(windowed).select("value", time, "window", COPY)
