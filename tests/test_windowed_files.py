@@ -142,6 +142,15 @@ def test_write_windowed_text_shards_keep_every_copy(spark, tmp_path):
     assert sum(sizes.values()) == 4_500
     same = [n for name, n in sizes.items() if "T000000Z-" in name]
     assert sum(same) == 4_000 and max(same) < 1_400
+    few = write_windowed_text(both, f"{tmp_path}/few", num_shards=2, rows_per_shard=None)
+    assert len(few) == 4
+    raised = write_windowed_text(both, f"{tmp_path}/raised", num_shards=2, rows_per_shard=500)
+    assert [n[-8:] for n in sorted(_lines_of(raised))] == [
+        *[f"{i:02d}-of-08" for i in range(8)],
+        "00-of-02",
+        "01-of-02",
+    ]
+    assert sum(map(len, _lines_of(raised).values())) == 4_500
     opened = write_windowed_text(both, f"{tmp_path}/open", num_shards=None, rows_per_shard=1_000)
     names = sorted(_lines_of(opened))
     assert [n[-8:] for n in names] == ["00-of-04", "01-of-04", "02-of-04", "03-of-04", "00-of-01"]
@@ -174,10 +183,10 @@ def test_other_zones_are_refused(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_temp_dir_and_batch_id(spark, tmp_path):
+def test_temp_dir_and_run_label(spark, tmp_path):
     temp = f"{tmp_path}/temp"
     files = write_windowed_text(
-        _windowed(spark, ROWS), f"{tmp_path}/out", temp_dir=temp, batch_id=7, suffix=".txt"
+        _windowed(spark, ROWS), f"{tmp_path}/out", temp_dir=temp, run_label="7", suffix=".txt"
     )
     assert os.path.isdir(f"{temp}/_staging") and len(files) == 3
     assert not os.path.exists(f"{tmp_path}/out/_staging")

@@ -25,15 +25,19 @@ COPY = "_copy"
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str | Column], max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    max_rows: int = MAX_GROUP_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame | None:
     """Keys with more than ``max_rows`` rows and the slices each needs, or None.
 
+    A slice takes ``slice_rows`` rows, by default as many as need no slicing.
     Runs one aggregation over the key columns only, combined before the shuffle.
     The driver sees at most ``MAX_BROADCAST_KEYS`` rows; beyond that the lazy
     frame is returned and Spark picks the join by size.
     """
-    slices = F.ceil(F.col("count") / max_rows).cast("int").alias(SLICES)
+    slices = F.ceil(F.col("count") / (slice_rows or max_rows)).cast("int").alias(SLICES)
     counted = df.groupBy(*keys).count().where(F.col("count") > max_rows)
     heavy = counted.select(*[c for c in counted.columns if c != "count"], slices)
     rows = heavy.limit(MAX_BROADCAST_KEYS + 1).collect()

@@ -27,7 +27,7 @@ from windrow.operators.skew import (
 from windrow.session import require_utc
 from windrow.sinks import names
 
-# Rows per file when the number of shards is left open.
+# Rows one file may take before its window gets more shards.
 ROWS_PER_SHARD = 5_000_000
 
 FILE = "_file"
@@ -35,31 +35,34 @@ COMMIT_IN_TASKS = "mapreduce.fileoutputcommitter.algorithm.version"
 
 
 def shard_lines(
-    df: DataFrame, num_shards: int | None = 1, rows_per_shard: int = ROWS_PER_SHARD
+    df: DataFrame, num_shards: int | None = 1, rows_per_shard: int | None = ROWS_PER_SHARD
 ) -> DataFrame:
     """Add ``shard`` and ``shards`` to ``value, ts, window`` rows.
 
-    With a number, every window has that many shards at most. With None each
-    window gets as many as its rows need. Copies of a row spread over the
-    shards like other rows, by the ``_copy`` number of finished stream windows
-    or else by one given here.
+    Each window has ``num_shards`` shards; None stands for 1. A window with more
+    than ``rows_per_shard`` rows for each gets as many as its rows need, so that
+    no task has to write a window that holds much of the data. With
+    ``rows_per_shard=None`` the number is kept whatever the size.
+
+    Copies of a row spread over the shards like other rows, by the ``_copy``
+    number of finished stream windows or else by one given here.
     """
-    if num_shards is not None and num_shards < 1:
+    shards = 1 if num_shards is None else num_shards
+    if shards < 1:
         raise ValueError("num_shards must be at least 1")
-    if num_shards == 1:
-        return df.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
     heavy = None
-    if num_shards is None:
-        heavy = heavy_keys(df, ["window"], rows_per_shard)
-        if heavy is None:
-            return df.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
+    if rows_per_shard is not None:
+        heavy = heavy_keys(df, ["window"], rows_per_shard * shards, rows_per_shard)
+    if heavy is None and shards == 1:
+        return df.withColumns({"shard": F.lit(0), "shards": F.lit(1)})
     rows = df if COPY in df.columns else number_copies(df)
-    if heavy is None:
-        sharded = rows.withColumn("shards", F.lit(num_shards))
-    else:
-        sharded = with_slices(rows, ["window"], heavy).withColumnRenamed(SLICES, "shards")
+    wanted = F.lit(shards)
+    if heavy is not None:
+        rows = with_slices(rows, ["window"], heavy)
+        wanted = F.greatest(wanted, F.col(SLICES))
+    placed = rows.withColumn("shards", wanted)
     place = slice_of(["ts", "value", COPY], F.col("shards"))
-    return sharded.select(*df.columns, place.alias("shard"), "shards")
+    return placed.select(*df.columns, place.alias("shard"), "shards")
 
 
 def write_windowed_text(
@@ -75,14 +78,17 @@ def write_windowed_text(
     hour: str | None = names.HOUR,
     minute: str | None = names.MINUTE,
     temp_dir: str | None = None,
-    batch_id: int | None = None,
-    rows_per_shard: int = ROWS_PER_SHARD,
+    rows_per_shard: int | None = ROWS_PER_SHARD,
+    run_label: str | None = None,
 ) -> list[str]:
     """Write ``value`` lines of windowed rows to files named by window and shard.
 
     The directory may hold date patterns, filled in from the window end. A file
     is a function of window and shard, so writing a batch again replaces its
-    files. Returns the paths.
+    files. ``run_label`` names the staging folder, so that a run repeated after a
+    crash clears what the first one left. Returns the paths.
+
+    For the number of files per window see ``shard_lines``.
     """
 
     def path(start: Column, end: Column, shard: Column, shards: Column) -> Column:
@@ -98,7 +104,7 @@ def write_windowed_text(
         minute or names.FALLBACK_MINUTE,
     ]
     staging = temp_dir or _fixed_part(directory, patterns)
-    return _write(df, path, staging, num_shards, rows_per_shard, batch_id)
+    return _write(df, path, staging, num_shards, rows_per_shard, run_label)
 
 
 def _fixed_part(directory: str, patterns: list[str]) -> str:
@@ -120,8 +126,8 @@ def write_one_file_per_window(
     suffix: str = "",
     legacy_names: bool = False,
     time_format: str | None = None,
-    batch_id: int | None = None,
-    rows_per_shard: int = ROWS_PER_SHARD,
+    rows_per_shard: int | None = ROWS_PER_SHARD,
+    run_label: str | None = None,
 ) -> list[str]:
     """Write windowed rows to ``prefix-HH:mm-HH:mm-shard-of-n`` beside the prefix.
 
@@ -142,7 +148,7 @@ def write_one_file_per_window(
         return F.concat(F.lit(folder + "/"), *days, file)
 
     replace = not legacy_names
-    return _write(df, path, folder, num_shards, rows_per_shard, batch_id, replace)
+    return _write(df, path, folder, num_shards, rows_per_shard, run_label, replace)
 
 
 def _write(
@@ -150,8 +156,8 @@ def _write(
     path: Callable[[Column, Column, Column, Column], Column],
     staging_base: str,
     num_shards: int | None,
-    rows_per_shard: int,
-    batch_id: int | None,
+    rows_per_shard: int | None,
+    run_label: str | None,
     replace: bool = True,
 ) -> list[str]:
     if "window" not in df.columns:
@@ -161,8 +167,7 @@ def _write(
     # Fails on a bad pattern or template before any work is done.
     path(F.current_timestamp(), F.current_timestamp(), F.lit(0), F.lit(1))
 
-    label = uuid.uuid4().hex if batch_id is None else f"batch-{batch_id}"
-    staging = hadoop.join(staging_base, "_staging", label)
+    staging = hadoop.join(staging_base, "_staging", run_label or uuid.uuid4().hex)
     hadoop.delete(spark, staging)
     needed = [c for c in ("value", "ts", "window", COPY) if c in df.columns]
     sharded = shard_lines(df.select(*needed), num_shards, rows_per_shard)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,15 +24,15 @@ def windowed_sink(
     a batch that runs again replaces its own files.
     """
 
+    label = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        counted_first = naming.get("num_shards", 1) is None
-        if counted_first:
-            batch.persist()
+        # Two passes read the batch: rows per window, then the files.
+        batch.persist()
         try:
-            write_windowed_text(batch, directory, batch_id=batch_id, **naming)
+            write_windowed_text(batch, directory, run_label=f"{label}-{batch_id}", **naming)
         finally:
-            if counted_first:
-                batch.unpersist()
+            batch.unpersist()
 
     writer = finished.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
