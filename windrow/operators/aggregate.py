@@ -41,7 +41,9 @@ def collect_groups(
         lists = [F.collect_list(v).alias(v) for v in values]
         grouped = rows.groupBy(*keys).agg(*lists)
         return grouped.select(*keys, F.lit(0).alias("chunk"), *values)
-    pieces = with_slices(fold_copies(rows, max_values), keys, heavy)
+    # Pieces well below the list size, so that a few of them in one list do not double it.
+    small = max(1, max_values // 8)
+    pieces = with_slices(fold_copies(rows, small), keys, heavy)
     chunked = pieces.withColumn("chunk", slice_of([*values, PIECE], F.col(SLICES)))
     lists = [
         F.flatten(
