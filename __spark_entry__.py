@@ -136,7 +136,7 @@ def match_input_lines(spark: SparkSession, sf_dir: str, cut_short: bool = False)
         F.lit("bat"),
         F.concat(F.lit("T"), F.col("o_orderkey") % 8),
         F.lit("runs"),
-        F.when(F.col("o_custkey") % 9 == 0, "NA").otherwise((F.col("o_custkey") % 9).cast("string")),
+        F.coalesce(F.nullif(F.col("o_custkey") % 9, F.lit(0)).cast("string"), F.lit("NA")),
         F.lit("N"),
         F.lit("NA"),
         F.concat(F.lit("U"), F.col("o_custkey") % 5),
@@ -441,7 +441,8 @@ def q_write_windowed_text_sharded(spark: SparkSession, sf_dir: str) -> DataFrame
     file = F.substring_index("path", "/", -1)
     name = F.regexp_replace(file, "-[0-9]{2}-of-", "-xx-of-")
     back = _read_back(spark, out)
-    return back.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), name.alias("name"), "value")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return back.select(folder.alias("folder"), name.alias("name"), "value")
 
 
 def q_write_one_file_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,9 +475,8 @@ def q_resolve_date_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_windowed_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = windowed_filename(
-        F.col("window.start"), F.col("window.end"), F.lit(3), F.lit(12), "windowed-file", suffix=".txt"
-    )
+    start, end = F.col("window.start"), F.col("window.end")
+    name = windowed_filename(start, end, F.lit(3), F.lit(12), "windowed-file", suffix=".txt")
     return _distinct_windows(spark, sf_dir).select(name.alias("name"), "n")
 
 

@@ -26,7 +26,8 @@ from windrow.operators import (
 
 def test_group_by_key(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", None)], "key string, value int")
-    got = {r["key"]: (r["chunk"], sorted(r["values"], key=str)) for r in group_by_key(rows).collect()}
+    lists = group_by_key(rows).collect()
+    got = {r["key"]: (r["chunk"], sorted(r["values"], key=str)) for r in lists}
     assert got == {"a": (0, [1, 2]), "b": (0, [None])}
 
 
@@ -137,7 +138,8 @@ def test_lookup_join_one_match(spark, mode):
 def test_lookup_join_violations(spark, left, right, message, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        for action in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("id").count()):
+        actions = (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("id").count())
+        for action in actions:
             with pytest.raises(Exception, match=message):
                 action(_join(spark, left, right, "error"))
         kept = _join(spark, left, right, "drop")

@@ -13,7 +13,8 @@ from windrow.session import scratch_dir
 
 
 def test_outs(lines, deliveries):
-    assert values(outs_by_player_and_kind(deliveries)) == [("Ann", "bowled", 2), ("Bo", "caught", 1)]
+    counts = values(outs_by_player_and_kind(deliveries))
+    assert counts == [("Ann", "bowled", 2), ("Bo", "caught", 1)]
     assert values(outs_lines(lines([HEADER, *DELIVERIES]))) == [("Ann,bowled,2",), ("Bo,caught,1",)]
 
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import DELIVERIES, HEADER, MATCHES, plan, values
+from conftest import DELIVERIES, HEADER, plan, values
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 

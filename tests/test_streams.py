@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from windrow.plans import messages_to_window_files, records_to_window_files
 from windrow.schemas import DEAD_LETTER, avro_to_struct
+from windrow.sinks import write_one_file_per_window
 from windrow.sources import (
     decode_messages,
     load_avro_schema,
@@ -69,7 +70,11 @@ def test_windows_fire_once_and_late_rows_are_dropped(spark, feed, tmp_path):
     query = (
         finalize_window(feed.read())
         .writeStream.outputMode("append")
-        .foreachBatch(lambda b, i: rows.extend((r["window"]["start"].minute, r["value"]) for r in b.collect()))
+        .foreachBatch(
+            lambda batch, _: rows.extend(
+                (r["window"]["start"].minute, r["value"]) for r in batch.collect()
+            )
+        )
         .option("checkpointLocation", f"{tmp_path}/cp")
         .start()
     )
@@ -262,6 +267,22 @@ def test_read_lines(spark, tmp_path):
     assert read_lines(spark, str(tmp_path), skip_header="head").count() == 4
 
 
+def test_one_file_per_window_on_a_stream(spark, feed, tmp_path):
+    feed.send((1, "a"), (2, "b"), (70, "c"), (130, "d"))
+    messages_to_window_files(
+        feed.read(),
+        f"{tmp_path}/out/pre",
+        f"{tmp_path}/cp",
+        trigger={"availableNow": True},
+        writer=write_one_file_per_window,
+        suffix=".txt",
+    ).awaitTermination()
+    assert _files(f"{tmp_path}/out/2024-01-01") == {
+        "pre-0000-0001-0-of-1.txt": ["a", "b"],
+        "pre-0001-0002-0-of-1.txt": ["c"],
+    }
+
+
 def test_windowed_sink_takes_a_name(spark, feed, tmp_path):
     feed.send((1, "a"))
     finished = finalize_window(feed.read())

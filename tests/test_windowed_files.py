@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import os
+import time
 
 import pytest
 from conftest import values
@@ -157,6 +158,21 @@ def test_write_windowed_text_shards_keep_every_copy(spark, tmp_path):
     assert sum(map(len, _lines_of(opened).values())) == 4_500
 
 
+def test_heavy_windows_in_an_hour_the_local_clock_repeats(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "Europe/Berlin")
+    time.tzset()
+    try:
+        hours = [F.expr(f"timestamp '2021-10-31 0{h}:30:00'").alias("ts") for h in (0, 1)]
+        text = F.col("id").cast("string").alias("value")
+        frames = [spark.range(n).select(text, ts) for n, ts in zip((50, 500), hours)]
+        sharded = shard_lines(tumbling_window(frames[0].union(frames[1]), "1h"), 1, 100)
+        start = F.hour("window.start")
+        assert values(sharded.groupBy(start, "shards").count()) == [(0, 1, 50), (1, 5, 500)]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_shard_lines_checks_the_number(spark):
     with pytest.raises(ValueError, match="num_shards"):
         shard_lines(_windowed(spark, ROWS), 0)

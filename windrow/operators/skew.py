@@ -40,10 +40,11 @@ def heavy_keys(
     slices = F.ceil(F.col("count") / (slice_rows or max_rows)).cast("int").alias(SLICES)
     counted = df.groupBy(*keys).count().where(F.col("count") > max_rows)
     heavy = counted.select(*[c for c in counted.columns if c != "count"], slices)
-    rows = heavy.limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not rows:
+    # Arrow keeps timestamps exact; Python's local times would mix up the hour a clock repeats.
+    rows = heavy.limit(MAX_BROADCAST_KEYS + 1).toArrow()
+    if rows.num_rows == 0:
         return None
-    if len(rows) > MAX_BROADCAST_KEYS:
+    if rows.num_rows > MAX_BROADCAST_KEYS:
         return heavy
     return F.broadcast(df.sparkSession.createDataFrame(rows, heavy.schema))
 

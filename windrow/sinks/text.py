@@ -28,7 +28,8 @@ def write_single_text(
         df.select(value).write.text(f"{staging}/parts")
         parts = hadoop.glob(spark, f"{staging}/parts/part-*")
         if len(parts) > 1 and hadoop.size(spark, f"{staging}/parts") <= max_bytes:
-            spark.read.text(f"{staging}/parts", lineSep="\n").coalesce(1).write.text(f"{staging}/one")
+            lines = spark.read.text(f"{staging}/parts", lineSep="\n")
+            lines.coalesce(1).write.text(f"{staging}/one")
             parts = hadoop.glob(spark, f"{staging}/one/part-*")
         if len(parts) == 1:
             targets = [base]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -16,12 +17,14 @@ def windowed_sink(
     checkpoint: str,
     trigger: dict | None = None,
     query_name: str | None = None,
+    writer: Callable[..., list[str]] = write_windowed_text,
     **naming,
 ) -> StreamingQuery:
     """Start writing finished windows to files; returns the running query.
 
-    A window comes in one batch, and its files are named by window and shard, so
-    a batch that runs again replaces its own files.
+    The writer is one of the two windowed sinks, and ``naming`` its settings. A
+    window comes in one batch, and its files are named by window and shard, so a
+    batch that runs again replaces its own files.
     """
 
     label = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
@@ -30,11 +33,12 @@ def windowed_sink(
         # Two passes read the batch: rows per window, then the files.
         batch.persist()
         try:
-            write_windowed_text(batch, directory, run_label=f"{label}-{batch_id}", **naming)
+            writer(batch, directory, run_label=f"{label}-{batch_id}", **naming)
         finally:
             batch.unpersist()
 
-    writer = finished.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    stream = finished.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
-        writer = writer.queryName(query_name)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).foreachBatch(write).start()
+        stream = stream.queryName(query_name)
+    stream = stream.trigger(**(trigger or {"processingTime": "10 seconds"}))
+    return stream.foreachBatch(write).start()
