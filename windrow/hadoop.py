@@ -61,8 +61,7 @@ def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
         return
     fs = _fs(spark, moves[0][1])
     to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for parent in {target.rsplit("/", 1)[0] for _, target in moves}:
-        fs.mkdirs(to_path(parent))
+    parents = {target.rsplit("/", 1)[0] for _, target in moves}
 
     def move(pair: tuple[str, str]) -> None:
         source, target = to_path(pair[0]), to_path(pair[1])
@@ -71,4 +70,5 @@ def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
             raise OSError(f"could not rename {pair[0]} to {pair[1]}")
 
     with ThreadPoolExecutor(RENAME_THREADS) as pool:
+        list(pool.map(lambda parent: fs.mkdirs(to_path(parent)), parents))
         list(pool.map(move, moves))
