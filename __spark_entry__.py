@@ -59,6 +59,16 @@ from windrow.sources import decode_messages, read_lines, read_messages, route_de
 from windrow.sources.messages import BAD
 from windrow.streaming import finalize_window, tumbling_window
 
+# The corpus operators may be left out of a copy of this library.
+try:
+    import corpus_pipeline
+
+    from windrow.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "windrow.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Date patterns in braces, so that letters elsewhere in a scratch path stay as they are.
@@ -657,6 +667,22 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = _own_queries()
+    if corpus_queries:
+        own |= corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return own
+
+
+def oracle_sql() -> dict[str, str]:
+    own = _own_sql()
+    if corpus_queries:
+        own |= corpus_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "outs_by_player_and_kind": q_outs_by_player_and_kind,
         "match_batsman_runs": q_match_batsman_runs,
@@ -795,7 +821,7 @@ def _window_files(value: str, suffix: str, where: str = "true") -> str:
     return f"SELECT {day} || {name} AS path, {value} AS value FROM events WHERE {where}"
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     minute_end = "(time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE)"
     delimited = "event_id || ',' || user_id || ',' || event_type || ',null,0,'"
     return {
