@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers as tokenizers
+import pytest
+import tiktoken
+
+from windrow.llm import bpe, queries
+
+RANKS_PATH = tokenizers.path("byte_bpe_50k.tiktoken")
+ALPHABET = "ab  \n\t'sé1_²x　日.,!tlre😀"
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.PrefixBpe(bpe.read_ranks(RANKS_PATH))
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = bpe.read_ranks(RANKS_PATH)
+    return tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_pairs_stay_apart_as_merging_says(encoder):
+    tokens, chance = list(encoder.usable.values()), random.Random(2)
+    for _ in range(20_000):
+        left, right = chance.choice(tokens), chance.choice(tokens)
+        a, b = encoder.token_bytes[left], encoder.token_bytes[right]
+        assert encoder.stays_apart(left, right) == (encoder.merge(a + b) == [a, b])
+
+
+def test_pieces_encode_as_the_library_does(encoder, library):
+    chance, pieces = random.Random(3), bpe.splitter(tokenizers.PATTERN)
+    for n in [0, 1, 2, 5, 30, 200] * 50:
+        text = "".join(chance.choice(ALPHABET) for _ in range(n))
+        got = [i for p in pieces(text) for i in encoder.encode(p.encode())]
+        assert got == library.encode_ordinary(text)
+    assert encoder.encode(b"ab" * 20_000) == library.encode_ordinary("ab" * 20_000)
+
+
+def test_appends_and_edits_stay_exact(encoder, library):
+    chance = random.Random(4)
+    for _ in range(100):
+        text = "".join(chance.choice(ALPHABET) for _ in range(chance.randint(0, 60)))
+        kept = bpe.EditableEncoding(encoder, tokenizers.PATTERN, text)
+        for _ in range(5):
+            start = chance.randint(0, len(kept.text))
+            end = chance.randint(start, min(len(kept.text), start + 5))
+            kept.replace(start, end, "".join(chance.choice(ALPHABET) for _ in range(chance.randint(0, 5))))
+            assert kept.ids == library.encode_ordinary(kept.text)
+        kept.append(" more")
+        assert kept.ids == library.encode_ordinary(kept.text)
+
+
+def test_an_edit_encodes_only_near_it(encoder):
+    kept = bpe.EditableEncoding(encoder, tokenizers.PATTERN, "some words here " * 2_000)
+    assert kept.replace(16_000, 16_001, "Z") < 12
+
+
+def test_frames(spark, library):
+    rows = [(1, "a b  c", "x"), (1, "a b  c", "x"), (2, None, None), (3, "", "y"), (None, "é" * 90_000, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, IDS string")
+    got = bpe.decode(bpe.encode(docs, RANKS_PATH, tokenizers.PATTERN), RANKS_PATH).collect()
+    assert len(got) == 5
+    for row in got:
+        assert row["ids"] == library.encode_ordinary(row["text"] or "")
+        assert bytes(row["decoded"]) == (row["text"] or "").encode()
+    none = docs.where("doc_id = 9")
+    assert bpe.encode(none, RANKS_PATH, tokenizers.PATTERN).count() == 0
+
+
+def test_query(spark, tmp_path, library):
+    import hashlib
+
+    docs = spark.createDataFrame([(1, "<|endoftext|> it's 2"), (2, None)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for row in queries.op9_byte_bpe(spark, str(tmp_path)).collect():
+        text = "<|endoftext|> it's 2" if row["doc_id"] == 1 else ""
+        ids = library.encode_ordinary(text)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
