@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from windrow.llm import decontamination as d
+from windrow.llm import queries
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+
+
+def brute(docs, items, size=13):
+    out = []
+    for doc_id, text in docs:
+        w, covered, found = words(text), set(), set()
+        for item_id, item in items:
+            q = words(item)
+            n = min(size, len(q))
+            for j in range(max(1, len(q) - size + 1) if q else 0):
+                for i in range(len(w) - n + 1):
+                    if w[i : i + n] == q[j : j + n]:
+                        covered.update(range(i, i + n))
+                        found.add(str(item_id))
+        out.append((doc_id, len(w), len(covered), sorted(found), bool(covered) and 20 * len(covered) >= len(w)))
+    return sorted(out, key=repr)
+
+
+@pytest.fixture(scope="module")
+def case():
+    chance = random.Random(5)
+    vocabulary = ["a", "b", "Été", "the", "x1", "rare", "word", "IS"]
+    text = lambda n: " ".join(chance.choice(vocabulary) for _ in range(n))
+    items = [(1, text(20)), (2, text(14)), (10, text(5)), (3, text(1)), (4, ""), (5, None), (6, "... !"), (None, text(13))]
+    items.append((1, items[0][1]))
+    docs = [(i, text(chance.choice([0, 1, 4, 12, 13, 40]))) for i in range(40)]
+    for i, (_, item) in enumerate(items[:3] * 4):
+        docs.append((100 + i, text(i) + "\n" + item.upper().replace("É", "é") + ", " + text(8 * i)))
+    docs += [(7, None), (None, items[0][1]), (None, text(9)), (8, items[1][1]), (8, items[1][1]), (8, items[2][1])]
+    docs.append((9, " ".join([items[0][1]] * 400)))
+    return docs, items
+
+
+def rows(result):
+    return sorted((tuple(r) for r in result.collect()), key=repr)
+
+
+def test_equals_brute_force(spark, case):
+    docs, items = case
+    left = spark.createDataFrame([(*x, "n") for x in docs], "doc_id long, text string, term string")
+    right = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, phrase int")
+    want = brute(docs, [x for x in items if x[0] is not None])
+    got = rows(d.contamination(left, right.where("item_id is not null")))
+    assert got == want
+    assert any(x[4] for x in want) and not all(x[4] for x in want)
+
+
+def test_empty_tables(spark, case):
+    docs = spark.createDataFrame(case[0], "doc_id long, text string")
+    items = spark.createDataFrame(case[1], "item_id long, text string")
+    assert d.contamination(docs.where("false"), items).count() == 0
+    assert {(r["n_hit"], r["contaminated"]) for r in d.contamination(docs, items.where("false")).collect()} == {(0, False)}
+
+
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_proximity_equals_brute_force(spark, tmp_path, slop):
+    chance = random.Random(6)
+    docs = [(i, [chance.choice("abcdefg") for _ in range(30)]) for i in range(12)]
+    wanted = [["a", "c", "e"], ["b", "g"], ["f"]]
+    left = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(wanted)], "item_id long, text string")
+    phrases = d.phrases(items)
+    terms = phrases.selectExpr("explode(tokens) w").selectExpr("xxhash64(w) term")
+    index = d.build_index(left, terms, f"{tmp_path}/index")
+    rarest = d.anchors(index, phrases, 3)
+    got = {tuple(r) for r in d.proximity_matches(index, rarest, slop).join(phrases, "phrase").select("doc_id", "item_id", "start").collect()}
+    count = {t: sum(w.count(t) for _, w in docs) for t in "abcdefg"}
+    want = set()
+    for item, q in enumerate(wanted):
+        order = sorted(range(len(q)), key=lambda o: (count[q[o]], o))
+        for i, w in docs:
+            places = [[p - o for p, t in enumerate(w) if t == q[o]] for o in order]
+            want |= {(i, item, s) for s in places[0] if all(any(abs(s - x) <= slop for x in p) for p in places[1:])}
+    assert got == want
+    if slop == 0:
+        exact = d.phrase_candidates(index, rarest).join(phrases, "phrase").select("doc_id", "item_id", "start")
+        assert {tuple(r) for r in exact.collect()} == {x for x in want if x[2] >= 0}
+
+
+def test_no_python_on_the_main_path(spark, case):
+    docs = spark.createDataFrame(case[0], "doc_id long, text string")
+    items = spark.createDataFrame(case[1], "item_id long, text string")
+    plan = d.contamination(docs, items)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_query(spark, tmp_path, case):
+    docs, items = case
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [x for x in items if x[0] is not None]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = [(a, b, c, len(e), hashlib.sha256(",".join(e).encode()).hexdigest(), f) for a, b, c, e, f in brute(docs, items)]
+    assert rows(queries.op1_decontamination(spark, str(tmp_path))) == sorted(want, key=repr)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe
+from windrow.llm import bpe, decontamination
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,53 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP1_SQL = rf"""
+    WITH item AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    run AS (
+        SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i + 1 : i + 13], ' ') AS phrase
+        FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 12, 1))) AS i FROM item WHERE len(w) > 0)),
+    doc AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    place AS (
+        SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS phrase
+        FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i
+              FROM doc, (SELECT DISTINCT n FROM run) WHERE len(w) >= n)),
+    hit AS (SELECT doc_id, item_id, i, place.n FROM place JOIN run USING (phrase) WHERE place.n = run.n),
+    covered AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id),
+    listed AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_byte_bpe": op9_byte_bpe}
+    return {
+        "op1_decontamination": op1_decontamination,
+        "op9_byte_bpe": op9_byte_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontamination": OP1_SQL}
