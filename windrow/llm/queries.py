@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination
+from windrow.llm import bpe, decontamination, outliers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +68,15 @@ OP1_SQL = rf"""
     FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
 
+def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = outliers.reject_outliers(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *outliers.STATISTICS, "base_failed", "kept", "distance")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op7_outliers": op7_outliers,
         "op9_byte_bpe": op9_byte_bpe,
     }
 
