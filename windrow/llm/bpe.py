@@ -46,25 +46,13 @@ class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token_bytes = {rank: token for token, rank in ranks.items()}
-        #: Tokens that merging never yields, even on their own bytes, cannot end a prefix.
-        self.usable: dict[bytes, int] = {}
-        #: What a token's last (first) part was while it grew, each with the rank that ended it.
-        self.last_parts: dict[int, list[tuple[bytes, int]]] = {}
-        self.first_parts: dict[int, list[tuple[bytes, int]]] = {}
-        #: Finds the usable tokens that end at each byte, longest first; bytes stand as Latin-1 text.
+        #: Finds the tokens that end at each byte, longest first; bytes stand as Latin-1 text.
         self.finder = ahocorasick.Automaton()
-        for token, rank in sorted(ranks.items(), key=lambda x: len(x[0])):
-            halves = self.merge(token, rank) if len(token) > 1 else [token]
-            if len(halves) > 2 or not all(h in self.usable for h in halves[: len(token) - 1]):
-                continue
-            self.usable[token] = rank
-            self.last_parts[rank], self.first_parts[rank] = [(token, NEVER)], [(token, NEVER)]
-            if len(halves) == 2:
-                for parts, half in ((self.last_parts, halves[1]), (self.first_parts, halves[0])):
-                    parts[rank] += [(b, min(until, rank)) for b, until in parts[ranks[half]]]
+        for token, rank in ranks.items():
             self.finder.add_word(token.decode("latin-1"), (len(token), rank))
         self.finder.make_automaton()
-        self.longest = max(map(len, self.usable))
+        self.longest = max(map(len, ranks))
+        self.grown: dict[int, tuple[list, list] | None] = {}
         self.apart: dict[int, bool] = {}
 
     def merge(self, piece: bytes, below: int = NEVER) -> list[bytes]:
@@ -77,6 +65,23 @@ class PrefixBpe:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def growth(self, rank: int) -> tuple[list, list] | None:
+        """What the token's last part and its first part were while it grew from bytes, each with the
+        rank that ended it. None for a token that merging never yields: it cannot end a prefix."""
+        if rank not in self.grown:
+            token = self.token_bytes[rank]
+            halves = self.merge(token, rank) if len(token) > 1 else [token]
+            parts = [self.growth(self.ranks[h]) for h in halves] if len(halves) == 2 else []
+            if len(halves) > 2 or None in parts:
+                self.grown[rank] = None
+            else:
+                last, first = [(token, NEVER)], [(token, NEVER)]
+                if parts:
+                    last += [(b, min(until, rank)) for b, until in parts[1][0]]
+                    first += [(b, min(until, rank)) for b, until in parts[0][1]]
+                self.grown[rank] = last, first
+        return self.grown[rank]
+
     def stays_apart(self, left: int, right: int) -> bool:
         """Whether the two tokens, side by side, are their own encoding.
 
@@ -85,11 +90,11 @@ class PrefixBpe:
         """
         known = self.apart.get(left << 20 | right)
         if known is None:
-            ranks = self.ranks
-            known = not any(
+            ranks, grown = self.ranks, self.growth(right)
+            known = grown is not None and not any(
                 ranks.get(a + b, NEVER) < a_until and ranks.get(a + b, NEVER) <= min(b_until, NEVER - 1)
-                for a, a_until in self.last_parts[left]
-                for b, b_until in self.first_parts[right]
+                for a, a_until in self.growth(left)[0]
+                for b, b_until in grown[1]
             )
             if len(self.apart) >= MEMO_PAIRS:
                 self.apart.clear()
@@ -108,6 +113,8 @@ class PrefixBpe:
                 known = apart.get(left << 20 | token)
                 if not (known or known is None and self.stays_apart(left, token)):
                     continue
+            elif token not in self.grown and self.growth(token) is None:
+                continue
             table.append(token)
             done += 1
         if done < upto:
@@ -137,15 +144,32 @@ def splitter(pattern: str):
 
 
 class Memo(dict):
-    """Piece to token ids: two generations of at most ``limit`` pieces; what is not used falls out."""
+    """Piece to token ids: two generations of at most ``limit`` pieces; what is not used falls out.
+
+    The tables of the pieces' first ``SHARED`` bytes are kept too: a new piece that starts like an
+    earlier one is an append to them.
+    """
+
+    SHARED = 8
 
     def __init__(self, bpe: PrefixBpe, limit: int = MEMO_PIECES):
         self.bpe, self.limit, self.older = bpe, limit, {}
+        self.starts: dict[bytes, tuple[int, ...]] = {}
+
+    def encode(self, data: bytes) -> list[int]:
+        start = data[: self.SHARED]
+        if len(data) < self.SHARED + 2 or data in self.bpe.ranks:
+            return self.bpe.encode(data)
+        table = self.bpe.extend(data, list(self.starts.get(start, ())))
+        if len(self.starts) >= self.limit:
+            self.starts.clear()
+        self.starts[start] = tuple(table[: self.SHARED])
+        return self.bpe.read_back(table)
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.older.get(piece)
         if ids is None:
-            ids = tuple(self.bpe.encode(piece.encode("utf-8", "surrogatepass")))
+            ids = tuple(self.encode(piece.encode("utf-8", "surrogatepass")))
         if len(piece) < 64:
             if len(self) >= self.limit:
                 self.older = dict(self)
@@ -264,7 +288,6 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = _token_bytes(ranks_file)
         for ids in batches:
-            flat, ends = ids.flatten().to_pylist(), np.cumsum([0, *(len(x) if x.is_valid else 0 for x in ids)])
-            yield pa.array([b"".join([known[i] for i in flat[a:b]]) for a, b in zip(ends, ends[1:])], pa.binary())
+            yield pa.array([b"".join(map(known.__getitem__, row.as_py() or ())) for row in ids], pa.binary())
 
     return df.withColumn(bytes_col, decoded(F.col(ids_col)))
