@@ -120,8 +120,10 @@ def phrase_hits(
     by_doc = starts.groupBy(F.col("doc_id").alias("found_id")).agg(
         F.collect_list(F.struct("start", "n_tokens", "phrase")).alias("may")
     )
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col)).alias("w"))
+    # The texts go through the shuffle as they are and are cut into words behind it: word lists are larger.
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     joined = texts.join(by_doc, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
+    joined = joined.select("doc_id", "may", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"))
     same = "filter(coalesce(may, array()), c -> c.phrase = unhex(sha2(cast(array_join(slice(w, c.start + 1, c.n_tokens), ' ') as binary), 256)))"
     path = scratch_dir(spark, "hits")
     joined.select("doc_id", "text_key", F.size("w").alias("n_words"), F.expr(same).alias("hits")).write.parquet(path)
