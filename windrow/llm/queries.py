@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, outliers
+from windrow.llm import bpe, decontamination, near_duplicates, outliers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,32 @@ OP1_SQL = rf"""
     FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+OP4_SQL = rf"""
+    WITH RECURSIVE doc AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+               '[^\x20\x09-\x0D]+') AS w FROM documents),
+    shingle AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 3], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM doc WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+    shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+        FROM shingle x JOIN shingle y USING (s) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+    link AS (
+        SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+        WHERE 100 * k >= 85 * (p.n + q.n - k)),
+    near AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (SELECT a, b FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+    least AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+           doc_id <= coalesce(low, doc_id) AS kept
+    FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+
 def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = outliers.reject_outliers(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *outliers.STATISTICS, "base_failed", "kept", "distance")
@@ -76,10 +102,11 @@ def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op4_minhash": op4_minhash,
         "op7_outliers": op7_outliers,
         "op9_byte_bpe": op9_byte_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL}
+    return {"op1_decontamination": OP1_SQL, "op4_minhash": OP4_SQL}
