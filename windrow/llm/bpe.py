@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Pieces kept per Python worker; a full memo is emptied, so memory stays bounded.
-MEMO_PIECES = 250_000
-MEMO_PAIRS = 500_000
+MEMO_PIECES = 200_000
+MEMO_PAIRS = 400_000
 NEVER = 1 << 60
 
 # The usual split pattern written for ``re``, which is faster than ``regex``. Both cut alike where a
@@ -144,32 +144,15 @@ def splitter(pattern: str):
 
 
 class Memo(dict):
-    """Piece to token ids: two generations of at most ``limit`` pieces; what is not used falls out.
-
-    The tables of the pieces' first ``SHARED`` bytes are kept too: a new piece that starts like an
-    earlier one is an append to them.
-    """
-
-    SHARED = 8
+    """Piece to token ids: two generations of at most ``limit`` pieces; what is not used falls out."""
 
     def __init__(self, bpe: PrefixBpe, limit: int = MEMO_PIECES):
         self.bpe, self.limit, self.older = bpe, limit, {}
-        self.starts: dict[bytes, tuple[int, ...]] = {}
-
-    def encode(self, data: bytes) -> list[int]:
-        start = data[: self.SHARED]
-        if len(data) < self.SHARED + 2 or data in self.bpe.ranks:
-            return self.bpe.encode(data)
-        table = self.bpe.extend(data, list(self.starts.get(start, ())))
-        if len(self.starts) >= self.limit:
-            self.starts.clear()
-        self.starts[start] = tuple(table[: self.SHARED])
-        return self.bpe.read_back(table)
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.older.get(piece)
         if ids is None:
-            ids = tuple(self.encode(piece.encode("utf-8", "surrogatepass")))
+            ids = tuple(self.bpe.encode(piece.encode("utf-8", "surrogatepass")))
         if len(piece) < 64:
             if len(self) >= self.limit:
                 self.older = dict(self)

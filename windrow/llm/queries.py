@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, near_duplicates, outliers
+from windrow.llm import bpe, decontamination, near_duplicates, outliers, toxicity
+from windrow.llm.sampling import id_remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +95,20 @@ OP4_SQL = rf"""
     FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 
+TOXIC_FROM = 0.7
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.training_rows(docs, _table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = outliers.reject_outliers(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *outliers.STATISTICS, "base_failed", "kept", "distance")
@@ -103,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
         "op4_minhash": op4_minhash,
+        "op6_toxicity": op6_toxicity,
         "op7_outliers": op7_outliers,
         "op9_byte_bpe": op9_byte_bpe,
     }
