@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, near_duplicates, outliers, toxicity
+from windrow.llm import bpe, decontamination, language, near_duplicates, outliers, toxicity
 from windrow.llm.sampling import id_remainder
 
 
@@ -114,12 +114,21 @@ def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *outliers.STATISTICS, "base_failed", "kept", "distance")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(language.training_rows(docs))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    held_out = (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "language.lang_pred", "language.score", "language.rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
         "op4_minhash": op4_minhash,
         "op6_toxicity": op6_toxicity,
         "op7_outliers": op7_outliers,
+        "op8_language": op8_language,
         "op9_byte_bpe": op9_byte_bpe,
     }
 

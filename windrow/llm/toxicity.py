@@ -6,9 +6,9 @@ window, one word in a fixed frame, is compressed with either; the bytes that the
 saves are its distance. A logistic calibration turns the distances of all windows of a text into a
 score. Words are what recurs in a text, so the distance of each is kept in a bounded memo.
 
-Null texts and texts without words get the score of a text without toxic windows. Rows, repeated or
-not, get one result each. Without labels of both kinds every score is the share of toxic labels (0
-without any). Other columns are ignored.
+Null texts and texts without words have the score 0. Rows, repeated or
+not, get one result each. Without labels of both kinds every other score is the share of toxic labels
+(0 without any). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -156,7 +156,7 @@ def fit(rows: Iterable[tuple[str, int]]) -> ToxicityModel:
     distance = Distance(*dictionaries)
     x = np.array([features(distance, t) for t in toxic[::3] + ordinary[::3]])
     y = np.repeat([1.0, 0.0], [len(toxic[::3]), len(ordinary[::3])])
-    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    mean, spread = x.mean(axis=0), np.where(x.std(axis=0) < 1e-6, np.inf, x.std(axis=0))
     return ToxicityModel(*dictionaries, mean, spread, *_logistic((x - mean) / spread, y))
 
 
@@ -182,6 +182,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_c
         distance = Distance(model.toxic, model.ordinary)
         for texts in batches:
             x = np.array([features(distance, t.as_py()) for t in texts]).reshape(len(texts), len(model.weights))
-            yield pa.array(model.scores(x), pa.float64())
+            wordless = np.array([not WORD.search(t.as_py() or "") for t in texts], bool)
+            yield pa.array(np.where(wordless, 0.0, model.scores(x)), pa.float64())
 
     return docs.withColumn(score_col, scored(F.col(text_col)))
