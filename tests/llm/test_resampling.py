@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from windrow.llm import queries
+from windrow.llm import resampling as rs
+
+
+@pytest.fixture(scope="module")
+def rows():
+    chance, out = random.Random(12), []
+    for i in range(500):
+        vocabulary = ["good", "plain", "text", "with", "words"] if i % 2 else ["SPAM", "buy", "***", "now", "win"]
+        out.append((i, " ".join(chance.choice(vocabulary) for _ in range(chance.randint(0, 30)))))
+    return out + [(-1, None), (-2, ""), (7, out[7][1]), (None, "good text")]
+
+
+def test_counts_and_weights_equal_brute_force(spark, rows):
+    docs = spark.createDataFrame([(*r, 0.0) for r in rows], "doc_id long, text string, key double")
+    target = [r for r in rows if r[0] is not None and r[0] % 2 == 1]
+    ids = spark.createDataFrame([(i,) for i, _ in target] * 2, "doc_id long")
+    counts = rs.bucket_counts(docs, ids)
+    tally = lambda part: Counter(x for _, t in part for x in rs.ngrams(t).tolist())
+    raw, wanted = tally(rows), tally(target)
+    got = {r["bucket"]: (r["raw"], r["target"]) for r in counts.collect()}
+    assert all(got[b] == (raw[b], wanted[b]) for b in range(rs.BUCKETS))
+    log = lambda c, b: math.log((c[b] + 0.5) / (sum(c.values()) + 0.5 * rs.BUCKETS))
+    want = {t: rs.SCALE * np.mean([log(wanted, b) - log(raw, b) for b in rs.ngrams(t).tolist()] or [0.0]) for _, t in rows}
+    result = rs.resample(docs, ids, share=0.4).join(docs.select("doc_id", "text").distinct(), "doc_id", "inner").collect()
+    assert all(abs(r["log_weight"] - want[r["text"]]) < 1e-6 for r in result)
+    result = rs.resample(docs, ids, share=0.4).collect()
+    k = math.ceil(0.4 * len(rows))
+    least = sorted((r["key"] for r in result), reverse=True)[k - 1]
+    assert len(result) == len(rows) and all(r["kept"] == (r["key"] >= least) for r in result)
+    assert sum(r["kept"] for r in result if r["doc_id"] is not None and r["doc_id"] % 2) > 0.9 * k
+
+
+def test_kth_largest_through_many_passes(spark, monkeypatch):
+    monkeypatch.setattr(rs, "SORTED_ROWS", 5)
+    monkeypatch.setattr(rs, "BINS", 4)
+    chance = random.Random(13)
+    values = [float(chance.choice([1, 2, 2.5, chance.random() * 1e6])) for _ in range(400)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").cache()
+    order = sorted(values, reverse=True)
+    for k in (1, 17, 200, 399, 400, 1000):
+        assert rs.kth_largest(frame, "v", k) == order[min(k, 400) - 1]
+
+
+def test_gumbel_keys_sample_by_weight(spark):
+    uniform = (np.arange(200_000) + 0.5) / 200_000
+    assert abs(np.mean(-np.log(-np.log(uniform))) - 0.5772) < 0.01
+    docs = spark.range(2000).selectExpr("id doc_id", "'same text' text")
+    kept = rs.resample(docs, docs.where("false"), share=0.25).where("kept").count()
+    assert kept == 500
+    assert rs.resample(docs.where("false"), docs).count() == 0
+
+
+def test_query(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 2 == 1), 0) for i, _ in rows if i is not None and i % 3]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op10_resampling(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sum(r["kept"] for r in got) >= math.ceil(0.75 * len(rows))

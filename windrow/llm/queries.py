@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, language, near_duplicates, outliers, toxicity
+from windrow.llm import bpe, decontamination, language, licences, near_duplicates, outliers, resampling, toxicity
 from windrow.llm.sampling import id_remainder
 
 
@@ -122,14 +122,31 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "language.lang_pred", "language.score", "language.rejected")
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.fit(licences.ordinary_paragraphs(docs)))
+    return found.select(
+        "doc_id",
+        F.size("licences").cast("long").alias("n_licence_paragraphs"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",").alias("families"),
+    )
+
+
+def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return resampling.resample(_table(spark, sf_dir, "documents"), good)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_licences": op2_licences,
         "op4_minhash": op4_minhash,
         "op6_toxicity": op6_toxicity,
         "op7_outliers": op7_outliers,
         "op8_language": op8_language,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_resampling": op10_resampling,
     }
 
 
