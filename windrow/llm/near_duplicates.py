@@ -5,9 +5,10 @@ coordinates of the signature: the least of ``second((first(x) + k) mod 2**32)``
 coordinates are hashed into bands; documents that agree in a band are compared on their full sets.
 
 Texts with equal sets are one class first. In a band's bucket every class is compared with the
-bucket's least one; what that leaves unconnected is compared with the members of other components in
-the bucket. So a large group costs one comparison per member, and no link between buckets' members
-of different components is left out.
+bucket's least one, then, in buckets of several components, with a few others. What that leaves in
+different components is paired by its rarest shingles, an exact filter that members sharing only a
+frequent passage don't pass. So a large group costs a few comparisons per member, and no link between
+a bucket's members of different components is left out.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MISS = 1e-6
 BROADCAST_IDS = 1_000_000
 # Set members signed at a time; keeps the work inside the processor's cache.
 BLOCK = 1 << 16
+# Rounds of comparing members of mixed buckets with so many others each, before the exact rest.
+CENTRE_ROUNDS, CENTRES = 2, 4
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -134,6 +137,61 @@ def similar(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return joined.mapInArrow(compared, "a long, b long").distinct()
 
 
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``bucket, rep, n, component`` of the buckets whose members lie in several components."""
+    placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
+        "bucket", "rep", "n", F.coalesce("component", "rep").alias("component")
+    )
+    placed = written(placed, "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return written(placed.join(mixed.where("low < high").select("bucket"), "bucket"), "mixed")
+
+
+def _by_centres(slots: DataFrame, turn: int) -> DataFrame:
+    """Each member of a bucket with CENTRES others, drawn by hash, of other components."""
+    drawn = [
+        F.max_by(F.struct("rep", "n", "component"), F.xxhash64("rep", F.lit(turn * CENTRES + i))).alias(f"c{i}")
+        for i in range(CENTRES)
+    ]
+    centres = slots.groupBy("bucket").agg(*drawn).select("bucket", F.explode(F.array(*[f"c{i}" for i in range(CENTRES)])).alias("c")).distinct()
+    pairs = slots.join(centres, "bucket").where("component != c.component")
+    return pairs.selectExpr("least(rep, c.rep) a", "greatest(rep, c.rep) b", "n n_a", "c.n n_b")
+
+
+def _by_prefix(slots: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of other components, among all members of ``slots``, that can reach the threshold.
+
+    Sets that similar share one of their rarest shingles: with those of all members in one order,
+    rarest first, one of the first ``n - ceil(percent% of n) + 1``. So members that share only a
+    frequent passage are never paired.
+    """
+    members = slots.select("rep", "n", "component").distinct()
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, text in zip(batch.column(0), batch.column(1)):
+                found = shingle_set(text.as_py(), size).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), rep.as_py())), pa.array(found)], ["rep", "shingle"])
+
+    wanted = members.select(F.col("rep").alias("doc_id"))
+    shingles = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(listed, "rep long, shingle long")
+    shingles = written(shingles.distinct(), "shingles")
+    frequency = shingles.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    # Shingles of one member alone come first in the order and pair nobody: only their number counts.
+    common = shingles.join(frequency, "shingle").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    first = f"n - cast(ceil(n * {percent} / 100) as int) + 1 - (n - size(s))"
+    prefix = common.join(members, "rep").where(f"{first} > 0").select(
+        "rep", "n", "component", F.explode(F.expr(f"slice(s.shingle, 1, cast({first} as int))")).alias("shingle")
+    )
+    prefix = written(prefix, "prefix")
+    several = prefix.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    prefix = prefix.join(several.where("low < high").select("shingle"), "shingle")
+    left = prefix.select("shingle", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    right = prefix.select("shingle", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    fits = f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"
+    return left.join(right, "shingle").where(f"a < b and c_a != c_b and {fits}").select("a", "b", "n_a", "n_b")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``.
 
@@ -159,19 +217,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     copies = classed.join(classes.select("class", "rep"), "class").where("doc_id != rep").select("doc_id", "rep")
     copies = written(copies, "copies")
     found = components(links.union(copies))
-    placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
-        "bucket", "rep", "n", F.col("least.rep").alias("least"), F.coalesce("component", "rep").alias("component")
-    )
-    placed = written(placed, "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_slots = placed.join(mixed.where("low < high").select("bucket"), "bucket").where("rep != least")
-    left = open_slots.select("bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = open_slots.select("bucket", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    # Only members that the comparisons so far left in different components are paired.
-    rest = left.join(right, "bucket").where(f"a < b and c_a != c_b and {fits}").select("a", "b").distinct()
-    rest = written(rest, "pairs")
-    if not rest.isEmpty():
-        found = components(links.union(copies).union(similar(rest, texts, size, percent)))
+    texts_open = None
+    for turn in range(CENTRE_ROUNDS):
+        open_slots = _mixed(members, found)
+        if texts_open is None:
+            reps = open_slots.select(F.col("rep").alias("doc_id")).distinct()
+            texts_open = written(texts.join(reps, "doc_id", "left_semi"), "texts")
+        near = _by_centres(open_slots, turn).where(fits).select("a", "b").distinct()
+        more = similar(written(near, "pairs"), texts_open, size, percent)
+        links = written(links.union(more), "links")
+        found = components(links.union(copies))
+    rest = written(_by_prefix(_mixed(members, found), texts_open, size, percent).where(fits).select("a", "b").distinct(), "pairs")
+    found = components(links.union(copies).union(similar(rest, texts_open, size, percent)))
     component = F.coalesce("component", "doc_id")
     return (
         signed.select("doc_id", F.col("n").alias("n_shingles"))
