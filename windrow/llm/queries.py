@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, language, licences, near_duplicates, outliers, resampling, toxicity
+from windrow.llm import bpe, decontamination, language, licences, near_duplicates, outliers, pages, resampling, toxicity
 from windrow.llm.sampling import id_remainder
 
 
@@ -95,6 +95,12 @@ OP4_SQL = rf"""
     FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 
+def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    text = F.col("main_text")
+    return found.select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 TOXIC_FROM = 0.7
 
 
@@ -142,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": op1_decontamination,
         "op2_licences": op2_licences,
         "op4_minhash": op4_minhash,
+        "op5_pages": op5_pages,
         "op6_toxicity": op6_toxicity,
         "op7_outliers": op7_outliers,
         "op8_language": op8_language,
