@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from windrow.llm import queries, surrogates as s
+
+KEY = b"test key"
+TEXT = (
+    "Mail Ann.Bo@Example.com or ann.bo@example.com, +1 (017) 555-7713, card 4111 1111 1111 1111 or 4111111111111111, "
+    'host 10.0.0.255, TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", Mrs Anna Berg and Mr. Berg, Госпожа Анна Иванова.'
+)
+
+
+def replaced(text, later=None):
+    parts, at = [], 0
+    for start, end, kind, form in s.mentions(text):
+        parts += [text[at:start], s.shaped(kind, text[start:end], s.surrogate(KEY, kind, form, (later or {}).get((kind, form), 0)))]
+        at = end
+    return "".join(parts) + text[at:]
+
+
+def test_types_formats_and_coreference():
+    kinds = [m[2] for m in s.mentions(TEXT)]
+    assert kinds == ["email", "email", "phone", "card", "card", "ip", "secret", "person", "person", "person"]
+    new = replaced(TEXT)
+    found = s.mentions(new)
+    assert [m[2] for m in found] == kinds
+    assert found[0][3] == found[1][3] and found[3][3] == found[4][3]
+    old = {TEXT[a:b] for a, b, *_ in s.mentions(TEXT)}
+    assert not any(m in new for m in old if m != "Berg")
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", new) and re.search(r"card \d{4} \d{4} \d{4} \d{4} or \d{16}", new)
+    assert s.luhn(found[3][3]) and re.search('TOKEN = "[0-9A-F]{40}"', new)
+    given = re.search(r"Mrs (\w+) \w+ and", new)[1]
+    assert given in s.GIVEN["f", "latin"] and re.search(r"Госпожа (\w+)", new)[1] in s.GIVEN["f", "cyrillic"]
+
+
+def test_another_key_gives_others_and_plain_text_stays():
+    assert s.surrogate(b"a", "card", "4111111111111111") != s.surrogate(b"b", "card", "4111111111111111")
+    for text in ("", "no data here", "version 2.0 of 1999", "1.2.3", "999.999.999.999", "a@b", "x" * 100_000, "12 " * 5):
+        assert replaced(text) == text
+
+
+def test_collisions_are_resolved(spark):
+    # A scheme with few values: entities must move on until all differ and none is a real entity.
+    def few(key, kind, form, attempt):
+        return str((len(form) + attempt) % 12)
+
+    forms = ["1", "2", "xx", "yy", "zzz", "www", "vvvv"]
+    found = spark.createDataFrame([(i, "card", f) for i, f in enumerate(forms * 3)], "text_key long, kind string, form string")
+    later = {r["form"]: r["attempt"] for r in s.attempts(found, KEY, few).collect()}
+    made = [few(KEY, "card", f, later.get(f, 0)) for f in forms]
+    assert len(set(made)) == len(forms) and not set(made) & set(forms)
+
+
+@pytest.mark.parametrize("later", [False, True])
+def test_frames(spark, monkeypatch, later):
+    if later:  # every entity takes its second value
+        monkeypatch.setattr(s, "attempts", lambda found, key: found.select("kind", "form").distinct().selectExpr("*", "1 attempt"))
+    rows = [(1, TEXT, "x"), (1, TEXT, "x"), (2, None, None), (3, "", "y"), (None, "call +1 (017) 555-7713", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+    got = s.replace(docs, KEY)
+    assert got.columns == docs.columns and got.where("false").count() == 0
+    tries = {m[2:]: 1 for t in (TEXT, rows[4][1]) for m in s.mentions(t)} if later else {}
+    want = [(i, t and replaced(t, tries), x) for i, t, x in rows]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert s.replace(docs.where("false"), KEY).count() == 0
+    with pytest.raises(ValueError):
+        s.replace(docs, b"")
+
+
+def test_query(spark, tmp_path):
+    spark.createDataFrame([(1, TEXT), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(map(tuple, queries.op3_surrogates(spark, str(tmp_path)).collect()))
+    assert got[2] is None and "example.com" not in got[1].lower() and "555-7713" not in got[1]

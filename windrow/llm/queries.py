@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, language, licences, near_duplicates, outliers, pages, resampling, toxicity
+from windrow.llm import bpe, decontamination, language, licences, near_duplicates, outliers, pages, resampling, surrogates, toxicity
 from windrow.llm.sampling import id_remainder
 
 
@@ -95,6 +95,15 @@ OP4_SQL = rf"""
     FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 
+# Production jobs pass a secret of their own; the queries need one that gives the same rows each time.
+QUERY_KEY = b"key of the registered queries"
+
+
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, QUERY_KEY)
+
+
 def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     text = F.col("main_text")
@@ -147,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_licences": op2_licences,
+        "op3_surrogates": op3_surrogates,
         "op4_minhash": op4_minhash,
         "op5_pages": op5_pages,
         "op6_toxicity": op6_toxicity,
