@@ -212,3 +212,41 @@ def test_cogroup_fn_slices_left(spark):
 def test_composite(spark):
     chain = composite(lambda d: d.where("value < 4"), sum_by_key)
     assert values(_numbers(spark).transform(chain)) == [(0, 2), (1, 4)]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10000000"])
+def test_lookup_checks_survive_later_steps(spark, threshold):
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
+    repeated = spark.createDataFrame([("a", "x"), ("b", "y"), ("b", "z")], "id string, city string")
+    lacking = spark.createDataFrame([("a", "x")], "id string, city string")
+    steps = [
+        lambda j: j.where("v = 1"),
+        lambda j: j.where("v is not null"),
+        lambda j: j.where("id = 'a'"),
+        lambda j: j.where("match.city = 'x'"),
+        lambda j: j.join(left.withColumnRenamed("v", "w"), "id"),
+        lambda j: j.select("v"),
+    ]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for right in (repeated, lacking):
+            for step in steps:
+                with pytest.raises(Exception, match="lookup row"):
+                    step(lookup_join_strict(left, right)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_no_list_passes_the_limit(spark):
+    rows = spark.range(1000).selectExpr("id % 2 as key", "id as value")
+    lists = group_by_key(rows, max_values=10).collect()
+    assert max(len(r["values"]) for r in lists) <= 10
+    assert sorted(v for r in lists for v in r["values"]) == list(range(1000))
+    assert len({(r["key"], r["chunk"]) for r in lists}) == len(lists)
+
+
+def test_groups_of_any_size_run_unless_a_limit_is_given(spark):
+    rows = spark.range(300).selectExpr("'k' as key", "id as value")
+    total = lambda pdf: pdf.groupby("key", as_index=False)["value"].sum()
+    assert values(group_fn(rows, ["key"], total, "key string, value long")) == [("k", 44850)]

@@ -291,3 +291,15 @@ def test_windowed_sink_takes_a_name(spark, feed, tmp_path):
     )
     assert query.name == "named"
     query.awaitTermination()
+
+
+def test_payloads_that_are_not_one_whole_record(spark):
+    schema = (
+        '{"type": "record", "name": "E", "fields": [{"name": "event_id", "type": "long"},'
+        ' {"name": "n", "type": "int", "default": 0}, {"name": "s", "type": ["null", "string"]}]}'
+    )
+    good = ['{"event_id":1}', '{"event_id":1,"s":"a]b}"} ']
+    bad = ["{}", '{"event_id":1} junk', '{"event_id":1},{"event_id":2}', '{"event_id":1}]', '{"event_id":1}}', "", None, "nope"]
+    rows = spark.createDataFrame([(x,) for x in good + bad], "value string")
+    got = {r["value"]: r["_bad"] for r in decode_messages(rows, schema).collect()}
+    assert got == {**dict.fromkeys(good, False), **dict.fromkeys(bad, True)}

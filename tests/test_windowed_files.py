@@ -237,7 +237,7 @@ def test_write_single_text(spark, tmp_path):
         assert write_single_text(rows, target) == [target]
         with open(target, newline="\n") as f:
             assert sorted(f.read().split("\n")[:-1]) == expected
-    parts = write_single_text(rows, f"{tmp_path}/big.csv", max_bytes=100)
+    parts = write_single_text(rows, f"{tmp_path}/big.csv", files="parts")
     assert [p[-14:] for p in parts] == [f"{i:05d}-of-00004" for i in range(4)]
     got = []
     for p in parts:
@@ -263,3 +263,28 @@ def test_append_table(spark, tmp_path):
 
 def test_hadoop_join():
     assert hadoop.join("s3a://b/x/", "/y/", "z") == "s3a://b/x/y/z"
+
+
+def test_each_form_of_a_single_text_removes_the_other(spark, tmp_path):
+    target = f"{tmp_path}/out.csv"
+    many = spark.range(0, 40, 1, 4).selectExpr("cast(id as string) as value")
+    write_single_text(many, target, files="parts")
+    write_single_text(many, target)
+    assert [n for n in sorted(os.listdir(tmp_path)) if n.startswith("out")] == ["out.csv"]
+    write_single_text(many, target, files="parts")
+    assert [n for n in sorted(os.listdir(tmp_path)) if n.startswith("out")] == [f"out.csv-{i:05d}-of-00004" for i in range(4)]
+
+
+def test_a_failed_rename_loses_nothing(spark, tmp_path):
+    target = tmp_path / "kept.txt"
+    target.write_text("old")
+    with pytest.raises(Exception):
+        hadoop.replace_all(spark, [(f"{tmp_path}/missing", str(target))])
+    assert target.read_text() == "old"
+
+
+def test_a_given_shard_number_is_exact(spark):
+    rows = spark.range(50).selectExpr("cast(id as string) as value", "timestamp'2021-02-01 00:00:10' as ts")
+    windowed = tumbling_window(rows, "1 minute")
+    assert shard_lines(windowed, 2).select("shards").distinct().collect() == [(2,)]
+    assert shard_lines(windowed, None, 10).select("shards").distinct().collect() == [(5,)]

@@ -26,6 +26,8 @@ def _parser() -> argparse.ArgumentParser:
     outs = jobs.add_parser("outs", help="wickets per player and kind, to one text file")
     outs.add_argument("--input-file", required=True)
     outs.add_argument("--output-file", required=True)
+    outs.add_argument("--output-parts", action="store_true", help="leave numbered parts")
+    outs.add_argument("--skip-header", metavar="TEXT", help="leave out lines of this text")
 
     runs = jobs.add_parser("match-runs", help="runs per match and batsman, appended to a table")
     runs.add_argument("--deliveries", required=True)
@@ -34,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     runs.add_argument("--table-format", default="parquet")
     runs.add_argument("--on-violation", choices=["error", "drop"], default="error")
     runs.add_argument("--include-match", action="store_true")
+    runs.add_argument("--skip-header", metavar="TEXT", help="leave out lines of this text")
 
     messages = jobs.add_parser("messages", help="text messages to files per window")
     records = jobs.add_parser("records", help="decoded records to files per window")
@@ -61,6 +64,7 @@ def _parser() -> argparse.ArgumentParser:
     records.add_argument("--schema-path", required=True)
     records.add_argument("--codec", choices=["json", "avro"], default="json")
     records.add_argument("--dead-letter-path", required=True)
+    records.add_argument("--dead-letter-format", default="parquet")
     return parser
 
 
@@ -95,11 +99,13 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     """Run one job to its end; a stream ends only with ``--available-now``."""
     args = _parser().parse_args(argv)
     if args.job == "outs":
-        write_single_text(outs_lines(read_lines(spark, args.input_file)), args.output_file)
+        lines = read_lines(spark, args.input_file, skip_header=args.skip_header)
+        files = "parts" if args.output_parts else "one"
+        write_single_text(outs_lines(lines), args.output_file, files=files)
     elif args.job == "match-runs":
         rows = match_batsman_runs(
-            read_lines(spark, args.deliveries),
-            read_lines(spark, args.matches),
+            read_lines(spark, args.deliveries, skip_header=args.skip_header),
+            read_lines(spark, args.matches, skip_header=args.skip_header),
             args.on_violation,
             args.include_match,
         )
@@ -118,7 +124,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
             decoded,
             args.output_directory,
             args.checkpoint,
-            lambda batch, _: batch.write.mode("append").parquet(args.dead_letter_path),
+            lambda batch, _: batch.write.mode("append").format(args.dead_letter_format).save(args.dead_letter_path),
             **_stream_settings(args),
         ):
             query.awaitTermination()

@@ -1,8 +1,8 @@
 """User code in a plan. The built-in operators never go through these.
 
 Functions see pandas data in Arrow batches. ``group_fn`` and ``cogroup_fn`` hold
-a whole group in one task, so they first check that every group is small enough
-and slice the ones that are not.
+a whole group in one task. Groups are sliced where the arguments say that the
+function allows it, and refused only where ``max_rows`` asks for that.
 """
 
 from __future__ import annotations
@@ -25,9 +25,6 @@ from windrow.operators.skew import (
     with_slices,
 )
 
-# Lookup rows per key that may be copied to every slice of a heavy left key.
-MAX_COPIED_ROWS = 1_000
-
 
 def flat_map_fn(
     df: DataFrame,
@@ -76,15 +73,18 @@ def group_fn(
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
     combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """A function over all rows of each key; its output must carry the keys.
 
     ``combine`` folds several outputs of ``fn`` for one key into the final one.
-    It lets keys with more than ``max_rows`` rows run in slices; without it
-    such keys are refused.
+    With it, keys with more than ``max_rows`` (by default ``MAX_GROUP_ROWS``)
+    rows run in slices. Without it every group is taken whole, however large; a
+    given ``max_rows`` then refuses larger ones.
     """
-    heavy = heavy_keys(df, keys, max_rows)
+    if combine is None and max_rows is None:
+        return spread(df, *keys).groupBy(*keys).applyInPandas(fn, schema)
+    heavy = heavy_keys(df, keys, max_rows or MAX_GROUP_ROWS)
     if heavy is None:
         return spread(df, *keys).groupBy(*keys).applyInPandas(fn, schema)
     if combine is None:
@@ -105,18 +105,21 @@ def cogroup_fn(
     fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
     per_left_row: bool = False,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """A function over the left rows and the right rows of each key.
 
     ``per_left_row`` says that the output is the union of the outputs for single
-    left rows. It lets heavy left keys run in slices, each with a copy of the
-    key's right rows. Other keys with more than ``max_rows`` rows are refused.
+    left rows. With it, left keys of more than ``max_rows`` (by default
+    ``MAX_GROUP_ROWS``) rows run in slices, each with a copy of the key's right
+    rows. Otherwise groups are taken whole. A given ``max_rows`` refuses larger
+    right groups, and larger left ones that may not be sliced.
     """
-    heavy = heavy_keys(left, keys, max_rows)
-    right_limit = max_rows if heavy is None else min(max_rows, MAX_COPIED_ROWS)
-    if heavy_keys(right, keys, right_limit) is not None:
-        raise ValueError(f"a right key has more than {right_limit} rows")
+    if max_rows is not None and heavy_keys(right, keys, max_rows) is not None:
+        raise ValueError(f"a right key has more than {max_rows} rows")
+    if max_rows is None and not per_left_row:
+        return _cogrouped(left, right, keys).applyInPandas(fn, schema)
+    heavy = heavy_keys(left, keys, max_rows or MAX_GROUP_ROWS)
     if heavy is None:
         return _cogrouped(left, right, keys).applyInPandas(fn, schema)
     if not per_left_row:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -50,12 +51,20 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
 
 def glob_below(spark: SparkSession, directory: str, pattern: str) -> list[str]:
     """Paths below a directory matching a pattern; the directory itself is taken literally."""
-    literal = re.sub(r"([\\{}\[\]*?])", r"\\\1", directory)
-    return glob(spark, f"{literal}/{pattern}")
+    return glob(spark, f"{literal(directory)}/{pattern}")
+
+
+def literal(text: str) -> str:
+    """The text as a glob that matches only itself."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", text)
 
 
 def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
-    """Rename files, replacing what stands at the target. Only metadata moves."""
+    """Rename files, replacing what stands at the target. Only metadata moves.
+
+    A file that stands there is set aside first and put back if the rename
+    fails, so no target is left without its old or its new file.
+    """
     moves = list(moves)
     if not moves:
         return
@@ -65,9 +74,20 @@ def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
 
     def move(pair: tuple[str, str]) -> None:
         source, target = to_path(pair[0]), to_path(pair[1])
-        fs.delete(target, False)
-        if not fs.rename(source, target):
-            raise OSError(f"could not rename {pair[0]} to {pair[1]}")
+        aside = None
+        if fs.exists(target):
+            aside = to_path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+            if not fs.rename(target, aside):
+                raise OSError(f"could not set {pair[1]} aside")
+        try:
+            if not fs.rename(source, target):
+                raise OSError(f"could not rename {pair[0]} to {pair[1]}")
+        except Exception:
+            if aside is not None:
+                fs.rename(aside, target)
+            raise
+        if aside is not None:
+            fs.delete(aside, False)
 
     with ThreadPoolExecutor(RENAME_THREADS) as pool:
         list(pool.map(lambda parent: fs.mkdirs(to_path(parent)), parents))

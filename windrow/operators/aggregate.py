@@ -34,7 +34,8 @@ def collect_groups(
     """Lists of the non-null ``values`` per key, as ``keys, chunk, values``.
 
     A key with up to ``max_values`` rows gives one row with chunk 0. A heavier
-    key gives several, together holding every value once.
+    key gives several, together holding every value once, with at most
+    ``max_values`` in each list.
     """
     heavy = heavy_keys(rows, keys, max_values)
     if heavy is None:
@@ -51,7 +52,16 @@ def collect_groups(
         ).alias(v)
         for v in values
     ]
-    return chunked.groupBy(*keys, "chunk").agg(*lists)
+    grouped = chunked.groupBy(*keys, SLICES, "chunk").agg(*lists)
+    # Hashes fill the chunks unevenly: those too long are cut, so that no list passes the limit.
+    longest = F.greatest(*[F.size(v) for v in values]) if len(values) > 1 else F.size(values[0])
+    part = F.explode(F.sequence(F.lit(0), F.floor(F.greatest(longest - 1, F.lit(0)) / max_values)))
+    cut = grouped.withColumn("part", part)
+    return cut.select(
+        *keys,
+        (F.col("chunk") + F.col("part") * F.col(SLICES)).cast("int").alias("chunk"),
+        *[F.slice(v, (F.col("part") * max_values + 1).cast("int"), max_values).alias(v) for v in values],
+    )
 
 
 def group_by_key(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -47,9 +48,11 @@ def lookup_join_strict(
     repeated right row fails the job, even where the repeated key has no left
     rows; with ``"drop"`` such keys are left out.
 
-    The error checks sit in filters, where column pruning cannot remove them.
-    The right side enters the join untouched, so Spark broadcasts it when its
-    size allows and otherwise merges by key and splits heavy left keys.
+    The error checks run below an ``observe`` node. No filter, join or column
+    choice of a later step is moved below it, so none can take a check away; a
+    ``limit`` may still stop the job before all rows are seen. The right side
+    enters the join untouched, so Spark broadcasts it when its size allows and
+    otherwise merges by key and splits heavy left keys.
     """
     if on_violation not in (ERROR, DROP):
         raise ValueError(f"on_violation must be {ERROR} or {DROP}, not {on_violation}")
@@ -76,7 +79,8 @@ def lookup_join_strict(
         .where(F.when(F.col("count") > 1, repeated).otherwise(False))
         .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in matched.schema.fields])
     )
-    return matched.unionByName(no_rows)
+    checked = matched.unionByName(no_rows)
+    return checked.observe(f"lookup_join_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n_rows"))
 
 
 def _message(text: str, key: str):

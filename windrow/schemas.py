@@ -111,7 +111,8 @@ def avro_to_struct(schema: str | dict) -> T.StructType:
     """Map an Avro record schema to a ``StructType``.
 
     Handles primitives, arrays, nested records and ``["null", T]`` unions; any
-    other type raises. A non-null field default is kept in the field metadata.
+    other type raises. A non-null field default is kept in the field metadata, and so
+    is that a field is required: not nullable and without a default.
     """
     parsed = json.loads(schema) if isinstance(schema, str) else schema
     struct, _ = _avro_type(parsed)
@@ -140,7 +141,9 @@ def _avro_type(node) -> tuple[T.DataType, bool]:
 
 
 def _avro_field(field: dict) -> T.StructField:
-    data_type, _ = _avro_type(field["type"])
+    data_type, nullable = _avro_type(field["type"])
     default = field.get("default")
     metadata = {} if default is None else {"default": default}
+    if not nullable and "default" not in field:
+        metadata["required"] = True
     return T.StructField(field["name"], data_type, True, metadata)

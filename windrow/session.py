@@ -41,10 +41,13 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 
-    Only where that is unset (a single machine, as in tests) a temporary folder
-    is used.
+    Where that is unset a temporary folder is used under a local master; on a
+    cluster, where executors would not see it, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", None) or "local"
+        if master.startswith("local-cluster") or not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"windrow-{label}-")
     return f"{base.rstrip('/')}/windrow-{label}-{uuid.uuid4().hex}"

@@ -27,7 +27,7 @@ from windrow.operators.skew import (
 from windrow.session import require_utc
 from windrow.sinks import names
 
-# Rows one file may take before its window gets more shards.
+# Rows per file where the rows decide on the number of shards.
 ROWS_PER_SHARD = 5_000_000
 
 FILE = "_file"
@@ -35,18 +35,19 @@ COMMIT_IN_TASKS = "mapreduce.fileoutputcommitter.algorithm.version"
 
 
 def shard_lines(
-    df: DataFrame, num_shards: int | None = 1, rows_per_shard: int | None = ROWS_PER_SHARD
+    df: DataFrame, num_shards: int | None = 1, rows_per_shard: int | None = None
 ) -> DataFrame:
     """Add ``shard`` and ``shards`` to ``value, ts, window`` rows.
 
-    Each window has ``num_shards`` shards; None stands for 1. A window with more
-    than ``rows_per_shard`` rows for each gets as many as its rows need, so that
-    no task has to write a window that holds much of the data. With
-    ``rows_per_shard=None`` the number is kept whatever the size.
+    Each window has exactly ``num_shards`` shards, whatever its size. Only where
+    ``rows_per_shard`` is given too, or ``num_shards`` is None (then by
+    ``ROWS_PER_SHARD`` rows), a window gets as many shards as its rows need.
 
     Copies of a row spread over the shards like other rows, by the ``_copy``
     number of finished stream windows or else by one given here.
     """
+    if num_shards is None and rows_per_shard is None:
+        rows_per_shard = ROWS_PER_SHARD
     shards = 1 if num_shards is None else num_shards
     if shards < 1:
         raise ValueError("num_shards must be at least 1")
@@ -78,7 +79,7 @@ def write_windowed_text(
     hour: str | None = names.HOUR,
     minute: str | None = names.MINUTE,
     temp_dir: str | None = None,
-    rows_per_shard: int | None = ROWS_PER_SHARD,
+    rows_per_shard: int | None = None,
     run_label: str | None = None,
 ) -> list[str]:
     """Write ``value`` lines of windowed rows to files named by window and shard.
@@ -126,7 +127,7 @@ def write_one_file_per_window(
     suffix: str = "",
     legacy_names: bool = False,
     time_format: str | None = None,
-    rows_per_shard: int | None = ROWS_PER_SHARD,
+    rows_per_shard: int | None = None,
     run_label: str | None = None,
 ) -> list[str]:
     """Write windowed rows to ``prefix-HH:mm-HH:mm-shard-of-n`` beside the prefix.

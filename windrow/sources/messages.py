@@ -70,10 +70,31 @@ def decode_messages(
     wide = T.StructType([*struct.fields, T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     parsed = df.withColumn(RECORD, F.from_json(F.col(value).cast("string"), wide, options))
-    bad = F.col(RECORD).isNull() | F.col(RECORD)[corrupt].isNotNull()
+    # Alone in an array and in an object, a payload must be one whole value: no text may follow it.
+    text = F.col(value).cast("string")
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    inside = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string")["v"]
+    bad = (
+        F.col(RECORD).isNull()
+        | F.col(RECORD)[corrupt].isNotNull()
+        | (F.coalesce(F.size(alone), F.lit(-1)) != 1)
+        | inside.isNull()
+        | _lacks_required(F.col(RECORD), struct)
+    )
     return parsed.withColumn(BAD, bad).withColumn(RECORD, _with_defaults(F.col(RECORD), struct))
 
 
+def _lacks_required(record: Column, struct: T.StructType) -> Column:
+    """Whether a required field of the record, or of a record in it, is null."""
+    lacks = F.lit(False)
+    for f in struct.fields:
+        if f.metadata.get("required"):
+            lacks = lacks | record[f.name].isNull()
+        if isinstance(f.dataType, T.StructType):
+            lacks = lacks | (record[f.name].isNotNull() & _lacks_required(record[f.name], f.dataType))
+    return lacks
+
+
 def _with_defaults(record: Column, struct: T.StructType) -> Column:
     """Fields that are not in the payload take the default of the schema."""
     fields = []
