@@ -60,6 +60,19 @@ def test_gumbel_keys_sample_by_weight(spark):
     assert rs.resample(docs.where("false"), docs).count() == 0
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_every_target_text_is_counted(spark, threshold):
+    # With all documents as target both models are one and every weight is 0, however many there are.
+    docs = spark.range(30_000).selectExpr("id doc_id", "concat('word', pmod(hash(id), 50)) text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        result = rs.resample(docs, docs.union(docs.where("doc_id < 9")), share=0.5)
+        assert result.where("log_weight = 0").count() == result.count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_query(spark, tmp_path, rows):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     labels = [(i, int(i % 2 == 1), 0) for i, _ in rows if i is not None and i % 3]

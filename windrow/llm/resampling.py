@@ -26,7 +26,6 @@ BUCKETS = 10_000
 LONGEST = 2
 SCALE = 50.0
 SMOOTHING = 0.5
-TARGET_ROWS = 20_000
 BINS = 4_096
 # A bin of no more rows than this is sorted to find the k-th key.
 SORTED_ROWS = 10_000
@@ -43,12 +42,11 @@ def ngrams(text: str | None) -> np.ndarray:
 def bucket_counts(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """``bucket, raw, target``: n-grams of all documents and of those in ``target_ids``.
 
-    One pass over the texts; a task sends one row per bucket, whatever it has read.
-    ``target_ids`` is broadcast and must be bounded.
+    One pass over the texts; a task sends one row per bucket, whatever it has read. ``target_ids``
+    may be of any size: Spark broadcasts it by its size, or joins by key and splits heavy keys.
     """
-    marked = docs.select("doc_id", "text").join(
-        F.broadcast(target_ids.select(F.col("doc_id").alias("t")).distinct()), F.col("doc_id") == F.col("t"), "left"
-    )
+    wanted = target_ids.select(F.col("doc_id").alias("t")).where("t is not null").distinct()
+    marked = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("t"), "left")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -107,17 +105,15 @@ def kth_largest(rows: DataFrame, key: str, k: int) -> float | None:
 
 
 def resample(
-    docs: DataFrame, target_ids: DataFrame, share: float = 0.75, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
-    target_rows: int = TARGET_ROWS,
+    docs: DataFrame, target_ids: DataFrame, share: float = 0.75, seed: int = 7, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, log_weight, key, kept``, one row per row of ``docs``; ``share`` of them are kept.
 
-    The target model is fitted on the ``target_rows`` ids with the least hashes, the raw model on
-    every document.
+    The target model counts every document whose id is in ``target_ids``, the raw model every
+    document.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chosen = target_ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows)
-    ratios = log_ratios(bucket_counts(texts, chosen))
+    ratios = log_ratios(bucket_counts(texts, target_ids))
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = with_log_weight(texts, ratios).select(
         "doc_id", "log_weight", (F.col("log_weight") - F.log(-F.log(uniform))).alias("key")
