@@ -22,7 +22,7 @@ def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a toxicity score of TOXIC_FROM or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit(toxicity.training_rows(docs, labels))
+    model = toxicity.trained(docs, labels)
     return toxicity.score(docs, model, score_col="_score").where(F.col("_score") < TOXIC_FROM).drop("_score")
 
 

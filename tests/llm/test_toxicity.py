@@ -64,3 +64,15 @@ def test_samples_are_bounded_and_stable(spark):
     assert sorted(first) == sorted(sample_by_label(rows.repartition(7), "toxic", 100, 200).select("doc_id", "toxic").collect())
     assert len(first) <= 200 and 60 <= sum(r["toxic"] for r in first) <= 140
     assert {len(r[0]) for r in rows.where("doc_id > 10").select(excerpt(rows["text"], 30)).collect()} == {30}
+
+
+def test_scores_keep_the_share_of_labels_at_every_size(spark, rows):
+    # Labels that no word tells apart, 1 in 10 toxic: samples of equal size must not make it 1 in 2.
+    docs = spark.createDataFrame([(i, t.replace("grumbolt", "ka").replace("snarkwit", "lo").replace("vilethorn", "sa")) for i, t, _ in rows], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 10 = 3 as int) toxic")
+    sample = toxicity.training_rows(docs, labels, per_label=40)
+    assert 0.3 < sum(y for _, y in sample) / len(sample) < 0.7
+    cut = toxicity.score(docs, toxicity.trained(docs, labels, per_label=40)).agg({"score": "avg"}).first()[0]
+    whole = toxicity.score(docs, toxicity.trained(docs, labels)).agg({"score": "avg"}).first()[0]
+    assert abs(whole - 0.1) < 0.05 and abs(cut - 0.1) < 0.05
+    assert toxicity.score(docs, toxicity.fit(sample)).agg({"score": "avg"}).first()[0] > 0.25

@@ -115,7 +115,7 @@ TOXIC_FROM = 0.7
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(toxicity.training_rows(docs, _table(spark, sf_dir, "labels")))
+    model = toxicity.trained(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
         "doc_id",
         (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"),

@@ -133,46 +133,69 @@ def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     return base + high + FRAME.encode(), base + low[: len(high)].ljust(len(high)) + FRAME.encode()
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+    """``share`` is each row's part of all, 1 in total."""
     weights, bias = np.zeros(x.shape[1]), 0.0
     for _ in range(3_000):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights + bias, -30, 30)))
-        weights -= 0.5 * (x.T @ (p - y) / len(y) + l2 * weights)
-        bias -= 0.5 * float((p - y).mean())
+        error = (1 / (1 + np.exp(-np.clip(x @ weights + bias, -30, 30))) - y) * share
+        weights -= 0.5 * (x.T @ error + l2 * weights)
+        bias -= 0.5 * float(error.sum())
     return weights, bias
 
 
-def fit(rows: Iterable[tuple[str, int]]) -> ToxicityModel:
-    """From ``(text, toxic)`` pairs, in the given order."""
+def fit(rows: Iterable[tuple[str, int]], toxic_share: float | None = None) -> ToxicityModel:
+    """From ``(text, toxic)`` pairs, in the given order. ``toxic_share`` is the share of toxic rows
+    in the table that ``rows`` were sampled from; by default their share among ``rows``."""
     rows = [(t or "", int(y)) for t, y in rows]
     toxic, ordinary = [t for t, y in rows if y], [t for t, y in rows if not y]
     width = 4 + 2 * len(STEPS)
+    if toxic_share is None:
+        toxic_share = len(toxic) / max(len(rows), 1)
     if min(len(toxic), len(ordinary)) < 2:
-        share = min(max(len(toxic) / max(len(rows), 1), 1e-13), 1 - 1e-13)
+        share = min(max(toxic_share, 1e-13), 1 - 1e-13)
         return ToxicityModel(FRAME.encode(), FRAME.encode(), np.zeros(width), np.ones(width), np.zeros(width), float(np.log(share / (1 - share))))
     # Every third text calibrates; the dictionaries are trained on the others and don't know it.
     rest = lambda texts: [t for i, t in enumerate(texts) if i % 3 or len(texts) < 6]
     dictionaries = _dictionaries(rest(toxic), rest(ordinary))
     distance = Distance(*dictionaries)
     x = np.array([features(distance, t) for t in toxic[::3] + ordinary[::3]])
-    y = np.repeat([1.0, 0.0], [len(toxic[::3]), len(ordinary[::3])])
+    sizes = [len(toxic[::3]), len(ordinary[::3])]
+    y = np.repeat([1.0, 0.0], sizes)
+    share = np.repeat([toxic_share / sizes[0], (1 - toxic_share) / sizes[1]], sizes)
     mean, spread = x.mean(axis=0), np.where(x.std(axis=0) < 1e-6, np.inf, x.std(axis=0))
-    return ToxicityModel(*dictionaries, mean, spread, *_logistic((x - mean) / spread, y))
+    return ToxicityModel(*dictionaries, mean, spread, *_logistic((x - mean) / spread, y, share))
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the ids that are not held out: those whose crc32 does not leave 1 by 3."""
+    known = labels.where(id_remainder(F.col("doc_id"), 3) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.where("toxic in (0, 1)")
+
+
+def toxic_share(docs: DataFrame, labels: DataFrame) -> float | None:
+    """Share of toxic rows among all labelled rows of ``docs`` that are not held out, counted on the
+    ids alone; None without such rows."""
+    return docs.select("doc_id").join(_known(labels), "doc_id").agg(F.avg("toxic")).first()[0]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, chars: int = EXCERPT_CHARS) -> list[tuple[str, int]]:
     """At most ``2 * per_label`` labelled texts, of each at most ``chars`` characters, on the driver.
 
-    Ids whose crc32 leaves 1 by 3 are held out. Toxic and ordinary rows are sampled apart; the
-    calibration then sees their share among the sampled rows.
+    Ids whose crc32 leaves 1 by 3 are held out. Toxic and ordinary rows are sampled apart, so their
+    share among the sampled rows is not that of all rows.
     """
-    known = labels.where(id_remainder(F.col("doc_id"), 3) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = sample_by_label(known.where("toxic in (0, 1)"), "toxic", per_label, 2 * per_label)
+    chosen = sample_by_label(_known(labels), "toxic", per_label, 2 * per_label)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = texts.select("doc_id", excerpt(F.col("text"), chars).alias("text"), "toxic").limit(3 * per_label).collect()
     return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))]
 
 
+def trained(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> ToxicityModel:
+    """The model of a bounded sample, calibrated to the labels' shares in the whole table, so that a
+    score means the same at every size."""
+    return fit(training_rows(docs, labels, per_label), toxic_share(docs, labels))
+
+
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with ``score_col double`` from 0 to 1 for the whole text; a column of that name is
     replaced."""
