@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from windrow.llm.components import written
 
 BROADCAST_TEXTS = 200_000
-NEEDS_LOOK = re.compile(r"[@0-9]|\b(?:M(?:rs?|s|me|lle|iss)|Dr|Herrn?|Frau|Señora?|Sra?|Господин|Госпожа)\b")
+NEEDS_LOOK = re.compile(r"[@\d]|AKIA|(?:sk|ghp|gho|xox[bp])[-_]|\b(?:M(?:rs?|s|me|lle|iss)|Dr|Herrn?|Frau|Señora?|Sra?|Господин|Госпожа)\b")
 
 # Tried in this order; a later one never takes characters of an earlier find.
 PATTERNS: dict[str, re.Pattern] = {
@@ -80,21 +80,22 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     """The canonical form of the entity's surrogate; never the entity itself."""
     draw = _stream(key, kind, form, attempt)
     while True:
-        made = _draw(kind, form, draw)
+        made = _draw(kind, form, draw, attempt)
         if made != form:
             return made
 
 
-def _draw(kind: str, form: str, draw: Iterator[int]) -> str:
+def _draw(kind: str, form: str, draw: Iterator[int], attempt: int) -> str:
+    """Names and mail addresses get longer with each attempt, so that their values never run out."""
     pick = lambda choices: choices[next(draw) % len(choices)]
     if kind == "email":
         name = "".join(pick(DIGITS) if c.isdigit() else c if c in "._%+-" else pick(LETTERS) for c in form.split("@")[0])
-        return name + "".join(pick(LETTERS) for _ in range(8 - len(name))) + f"@mail{next(draw) % 100}.example.org"
+        return name + "".join(pick(LETTERS) for _ in range(max(0, 8 - len(name)) + attempt)) + f"@mail{next(draw) % 100}.example.org"
     if kind == "ip":
         return ".".join(str(1 + next(draw) % 254) for _ in range(4))
     if kind == "person":
         _, gender, script, n = form.split("|")[:4] if form.count("|") >= 3 else ("", "m", "latin", "1")
-        family = "".join(pick(SYLLABLES[script]) for _ in range(4)).capitalize()
+        family = "".join(pick(SYLLABLES[script]) for _ in range(4 + attempt)).capitalize()
         return f"{pick(GIVEN[gender, script])} {family}" if n == "2" else family
     kept = {"phone": max(0, len(form) - 10), "iban": 4}.get(kind, 0)
     rest = form[kept:]
