@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from windrow.llm import infill
+
+UNITS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string"
+
+
+def by_lists(doc_id, text):
+    """The contract's rows by plain lists, without lanes."""
+    text, units = text or "", UNITS.findall(text or "")
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    if not text or any(m in text for m in infill.MARKS) or h[2] % 100 >= 50:
+        return len(units), "plain", None, None, text
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    if h[3] % 100 < 80:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_lanes_reach_every_rank():
+    chance = random.Random(1)
+    for n in [0, 1, 2, 3, 10, 100, 2000]:
+        ends, at = [], 0
+        for _ in range(n):
+            at += chance.randint(1, 9)
+            ends.append(at)
+        units = infill.UnitList(infill.np.array(ends, dtype=infill.np.int64))
+        assert [units.locate(r) for r in range(n + 1)] == [0, *ends][: n + 1]
+        with pytest.raises(IndexError):
+            units.locate(n + 1)
+        assert len(units.lanes) <= 16
+    assert len(units.lanes) > 3
+
+
+def test_rows_against_plain_lists(spark):
+    chance = random.Random(2)
+    words = ["a", "é", "日本", "😀x", " ", "\t", "\n\r", "\x0b", "\xa0", " ", "<", "P>", "<S", "M>", "\x1c"]
+    texts = [None, "", " ", "  \n", "one", " one", "one ", "a<P>b", "x <S> y", "<M>", "one " * 300_000]
+    texts += ["".join(chance.choice(words) for _ in range(chance.randint(1, 40))) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, "one two three"), (3, "one two three"), (None, "no id here")]
+    got = infill.rearrange(spark.createDataFrame(rows, SCHEMA))
+    got = got.withColumn("again", infill.restored(F.col("fim.output"), F.col("fim.form"))).collect()
+    assert len(got) == len(rows)
+    forms = set()
+    for row in got:
+        assert tuple(row["fim"]) == by_lists(row["doc_id"], row["text"])
+        assert row["again"] == (row["text"] or "")
+        forms.add(row["fim"]["form"])
+    assert forms == {"plain", "psm", "spm"}
+
+
+def test_other_columns_rates_and_empty_tables(spark):
+    docs = spark.createDataFrame([(i, "a b c d", "x", 1) for i in range(50)], SCHEMA + ", fim string, `FIM2` int")
+    all_cut = infill.rearrange(docs, fim_percent=100, spm_percent=0)
+    assert all_cut.columns == ["doc_id", "text", "fim", "FIM2"]
+    assert {r["form"] for r in all_cut.select("fim.form").collect()} == {"psm"}
+    assert {r["form"] for r in infill.rearrange(docs, fim_percent=0).select("fim.form").collect()} == {"plain"}
+    empty = infill.rearrange(spark.createDataFrame([], SCHEMA))
+    assert empty.collect() == [] and empty.columns == ["doc_id", "text", "fim"]
+
+
+def test_marks_that_could_be_misread_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a")], SCHEMA)
+    for marks in [("", "b", "c"), ("<a", "a>", "c"), ("x", "x", "y"), ("ab", "abc", "d"), ("aXa", "b", "c")]:
+        with pytest.raises(ValueError):
+            infill.rearrange(docs, marks=marks)
+    infill.rearrange(docs, marks=("<|p|>", "<|s|>", "<|m|>"))

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, decontamination, language, licences, near_duplicates, outliers, pages, resampling, surrogates, toxicity
+from windrow.llm import (
+    bpe,
+    decontamination,
+    infill,
+    language,
+    licences,
+    near_duplicates,
+    outliers,
+    pages,
+    resampling,
+    sharding,
+    surrogates,
+    toxicity,
+)
 from windrow.llm.sampling import id_remainder
 
 
@@ -152,6 +165,62 @@ def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), good)
 
 
+SHARDS = 16
+
+
+def op12_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    sized = docs.select(
+        "doc_id",
+        sharding.text_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    dealt = sharding.shuffle_into_shards(sized, SHARDS)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.rearrange(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = infill.restored(F.col("fim.output"), F.col("fim.form"))
+    return cut.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+    WITH doc AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+               regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+        FROM documents),
+    drawn AS (
+        SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS UBIGINT) % (len(u) + 1) AS x,
+               CAST('0x' || h[9:16] AS UBIGINT) % (len(u) + 1) AS y,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                         OR CAST('0x' || h[17:24] AS UBIGINT) % 100 >= 50 THEN 'plain'
+                    WHEN CAST('0x' || h[25:32] AS UBIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM doc),
+    cut AS (
+        SELECT *, coalesce(array_to_string(u[1 : least(x, y)], ''), '') AS p,
+               coalesce(array_to_string(u[least(x, y) + 1 : greatest(x, y)], ''), '') AS m,
+               coalesce(array_to_string(u[greatest(x, y) + 1 :], ''), '') AS s
+        FROM drawn)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM cut"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -164,8 +233,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_resampling": op10_resampling,
+        "op12_shuffle": op12_shuffle,
+        "op13_infill": op13_infill,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op4_minhash": OP4_SQL}
+    return {"op1_decontamination": OP1_SQL, "op4_minhash": OP4_SQL, "op13_infill": OP13_SQL}
