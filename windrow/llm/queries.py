@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm import (
     bpe,
+    collocations,
     decontamination,
     infill,
     language,
@@ -165,6 +166,48 @@ def op10_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), good)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP11_SQL = rf"""
+    WITH piece AS (
+        SELECT lang, row_number() OVER () AS id, piece
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+              translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    cut AS (SELECT lang, id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+    run AS (
+        SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS p
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM cut, (VALUES (1), (2), (3)) AS sizes(m)
+              WHERE len(w) >= m)),
+    f AS (SELECT lang, m, p, count(*) AS f FROM run GROUP BY ALL),
+    total AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+    common AS (SELECT lang, m, p, f FROM f WHERE f >= 10),
+    part AS (
+        SELECT lang, m, p, f AS a, k, array_to_string(string_split(p, ' ')[: k], ' ') AS x,
+               array_to_string(string_split(p, ' ')[k + 1 :], ' ') AS y
+        FROM common, (VALUES (1), (2)) AS cuts(k) WHERE m > k),
+    scored AS (
+        SELECT part.lang, part.m, part.p, a, k, left_side.f AS l, right_side.f AS r,
+               1000000 * CAST(a AS HUGEINT) * a // (CAST(left_side.f AS HUGEINT) * right_side.f) AS score
+        FROM part JOIN common left_side ON left_side.lang = part.lang AND left_side.p = x
+        JOIN common right_side ON right_side.lang = part.lang AND right_side.p = y),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+    around AS (
+        SELECT lang, q, max(f) AS most
+        FROM (SELECT lang, f, unnest([array_to_string(string_split(p, ' ')[: 2], ' '),
+                                      array_to_string(string_split(p, ' ')[2 :], ' ')]) AS q FROM common WHERE m = 3)
+        GROUP BY lang, q),
+    ranked AS (
+        SELECT s.lang, p AS phrase, a, l, r, score,
+               row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, p) AS rank
+        FROM lowest s LEFT JOIN around ON around.lang = s.lang AND around.q = s.p AND s.m = 2
+        WHERE most IS NULL OR 100 * most < 50 * a)
+    SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+           CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
 SHARDS = 16
 
 
@@ -233,10 +276,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_resampling": op10_resampling,
+        "op11_collocations": op11_collocations,
         "op12_shuffle": op12_shuffle,
         "op13_infill": op13_infill,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op4_minhash": OP4_SQL, "op13_infill": OP13_SQL}
+    return {"op1_decontamination": OP1_SQL, "op4_minhash": OP4_SQL, "op11_collocations": OP11_SQL, "op13_infill": OP13_SQL}
