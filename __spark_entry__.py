@@ -43,7 +43,8 @@ from windrow.plans import (
     records_to_window_files,
 )
 from windrow.plans.batch import joined_match_runs, match_lines
-from windrow.schemas import DEAD_LETTER, DELIVERY, MATCH
+from windrow.plans.streams import await_all
+from windrow.schemas import DELIVERY, MATCH
 from windrow.session import scratch_dir
 from windrow.sinks import (
     append_table,
@@ -55,18 +56,24 @@ from windrow.sinks import (
 )
 from windrow.sinks.names import hour_minute_filename
 from windrow.sinks.windowed import shard_lines
-from windrow.sources import decode_messages, read_lines, read_messages, route_dead_letters
+from windrow.sources import (
+    dead_letter_files,
+    decode_messages,
+    read_dead_letters,
+    read_lines,
+    read_messages,
+    read_typed_messages,
+    route_dead_letters,
+)
 from windrow.sources.messages import BAD
 from windrow.streaming import finalize_window, tumbling_window
 
-# The corpus operators may be left out of a copy of this library.
+# The corpus operators, or a package that they need, may be left out of a copy of this library.
 try:
     import corpus_pipeline
 
     from windrow.llm import queries as corpus_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "windrow.llm"):
-        raise
+except ModuleNotFoundError:
     corpus_pipeline = corpus_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -214,17 +221,70 @@ def q_read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_read_typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_messages(typed_messages(spark, sf_dir), EVENT_RECORD)
-    return records_to_rows(decoded.where(~F.col(BAD)))
+    """A typed stream, run to its end; its good records read back."""
+    base = scratch_dir(spark, "typed")
+    source, sink = hadoop.join(base, "in"), hadoop.join(base, "out")
+    typed_messages(spark, sf_dir).write.parquet(source)
+    stream = read_typed_messages(
+        spark, "parquet", EVENT_RECORD, {"path": source}, "value string, ts timestamp", time="ts"
+    )
+    rows = records_to_rows(stream.where(~F.col(BAD)))
+    query = (
+        rows.writeStream.format("parquet")
+        .option("path", sink)
+        .option("checkpointLocation", hadoop.join(base, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(sink)
 
 
 def q_route_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letters written as a batch that runs twice; each is there once."""
+    path = scratch_dir(spark, "letters")
     good, bad = route_dead_letters(decode_messages(typed_messages(spark, sf_dir), EVENT_RECORD))
+    write = dead_letter_files(path)
+    for _ in range(2):
+        write(bad, 0)
     kept = good.select(F.lit("good").alias("side"), F.col("value").alias("payload"))
-    dead = bad.select(F.lit("dead").alias("side"), F.col("payloadString").alias("payload"))
+    letters = read_dead_letters(spark, path)
+    dead = letters.select(F.lit("dead").alias("side"), F.col("payloadString").alias("payload"))
     return kept.unionByName(dead).select("side", "payload", F.length("payload").alias("n_chars"))
 
 
+def q_dead_letter_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed stream with message headers; bad payloads keep theirs in the dead letter."""
+    base = scratch_dir(spark, "attributes")
+    source, dead = hadoop.join(base, "in"), hadoop.join(base, "dead")
+    events = _table(spark, sf_dir, "events")
+    payload = F.concat(F.when(F.col("event_type") == "error", "#").otherwise(""), F.to_json(F.struct("event_id", "user_id")))
+    headers = F.create_map(F.lit("user"), F.col("user_id").cast("string"), F.lit("kind"), F.col("event_type"))
+    stamped = events.select(payload.alias("value"), F.col("ts").cast("timestamp").alias("ts"), headers.alias("headers"))
+    stamped.write.parquet(source)
+    stream = read_typed_messages(
+        spark,
+        "parquet",
+        EVENT_RECORD,
+        {"path": source},
+        "value string, ts timestamp, headers map<string,string>",
+        time="ts",
+        attributes="headers",
+    )
+    query = (
+        route_dead_letters(stream)[1]
+        .writeStream.option("checkpointLocation", hadoop.join(base, "checkpoint"))
+        .trigger(availableNow=True)
+        .foreachBatch(dead_letter_files(dead))
+        .start()
+    )
+    query.awaitTermination()
+    pairs = F.transform("attributes", lambda a: F.concat_ws("=", a["key"], a["value"]))
+    return read_dead_letters(spark, dead).select(
+        F.col("payloadString").alias("payload"), F.array_join(F.array_sort(pairs), ",").alias("attributes")
+    )
+
+
 # ---------------------------------------------------------------- shaping
 
 
@@ -560,15 +620,13 @@ def q_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         decode_messages(stream, EVENT_RECORD),
         f"{out}/{DATE_DIRS}",
         hadoop.join(base, "checkpoint"),
-        lambda batch, _: batch.write.mode("append").parquet(dead),
+        dead,
         length="1h",
         trigger={"availableNow": True},
         **WRAPPED,
     )
-    files.awaitTermination()
-    letters.awaitTermination()
-    letters_read = spark.read.schema(DEAD_LETTER).parquet(dead)
-    dead_rows = letters_read.select(
+    await_all((files, letters))
+    dead_rows = read_dead_letters(spark, dead).select(
         F.lit("dead").alias("path"), F.col("payloadString").alias("value")
     )
     return _read_back(spark, out).unionByName(dead_rows)
@@ -693,6 +751,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_messages": q_read_messages,
         "read_typed_messages": q_read_typed_messages,
         "route_dead_letters": q_route_dead_letters,
+        "dead_letter_attributes": q_dead_letter_attributes,
         "write_single_text": q_write_single_text,
         "write_windowed_text": q_write_windowed_text,
         "write_windowed_text_sharded": q_write_windowed_text_sharded,
@@ -847,6 +906,10 @@ def _own_sql() -> dict[str, str]:
             SELECT event_id, user_id, event_type, CAST(NULL AS VARCHAR) AS note,
                    CAST(0 AS INTEGER) AS retries
             FROM events WHERE event_type <> 'error'""",
+        "dead_letter_attributes": """
+            SELECT '#{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS payload,
+                   'kind=error,user=' || user_id AS attributes
+            FROM events WHERE event_type = 'error'""",
         "route_dead_letters": f"""
             SELECT side, payload, CAST(length(payload) AS INTEGER) AS n_chars FROM (
               SELECT CASE WHEN event_type = 'error' THEN 'dead' ELSE 'good' END AS side,

@@ -6,6 +6,7 @@ import pytest
 from conftest import DELIVERIES, HEADER, MATCHES, values
 
 from windrow.__main__ import run
+from windrow.sources import read_dead_letters
 
 STREAM = ["--input-format", "parquet", "--input-schema", "value string, ts timestamp"]
 
@@ -81,5 +82,5 @@ def test_records_job(spark, tmp_path):
     ])
     name = "windowed-file-20240101T000000Z-20240101T000100Z-00.txt"
     assert (tmp_path / "out" / "2024" / name).read_text() == "1,\n"
-    assert values(spark.read.parquet(f"{tmp_path}/dead").select("payloadString")) == [("bad",)]
+    assert values(read_dead_letters(spark, f"{tmp_path}/dead").select("payloadString")) == [("bad",)]
     assert os.listdir(f"{tmp_path}/out") == ["2024"]

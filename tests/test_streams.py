@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -9,16 +10,22 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from windrow.plans import messages_to_window_files, records_to_window_files
+from windrow.plans.streams import await_all
 from windrow.schemas import DEAD_LETTER, avro_to_struct
 from windrow.sinks import write_one_file_per_window
 from windrow.sources import (
+    dead_letter_files,
+    dead_letter_messages,
     decode_messages,
     load_avro_schema,
+    read_dead_letters,
     read_lines,
     read_messages,
     read_typed_messages,
     route_dead_letters,
 )
+from windrow.sources import messages as messages_module
+from windrow.sources.messages import attribute_pairs, marked_schema
 from windrow.streaming import finalize_window, windowed_sink
 
 MESSAGE = "value string, ts timestamp"
@@ -175,17 +182,16 @@ def test_records_to_files_and_dead_letters(spark, feed, tmp_path):
             decode_messages(feed.read(), RECORD),
             out,
             f"{tmp_path}/cp",
-            lambda batch, _: batch.write.mode("append").parquet(dead),
+            dead,
             trigger={"availableNow": True},
         )
-        for query in queries:
-            query.awaitTermination()
+        await_all(queries)
 
     run()
     assert list(_files(out).values()) == [["1,2,null,", "2,0,null,"]]
 
     def letters():
-        return values(spark.read.schema(DEAD_LETTER).parquet(dead).select("payloadString"))
+        return values(read_dead_letters(spark, dead).select("payloadString"))
 
     assert letters() == [("nope",), ('{"id":"1","over":"x"}',)]
     feed.send((5, "late and bad"), (6, '{"id":"late"}'))
@@ -303,3 +309,121 @@ def test_payloads_that_are_not_one_whole_record(spark):
     rows = spark.createDataFrame([(x,) for x in good + bad], "value string")
     got = {r["value"]: r["_bad"] for r in decode_messages(rows, schema).collect()}
     assert got == {**dict.fromkeys(good, False), **dict.fromkeys(bad, True)}
+
+
+def test_marked_schema_takes_a_free_name():
+    reader, marker = marked_schema(RECORD)
+    fields = json.loads(reader)["fields"]
+    assert fields[:-1] == json.loads(RECORD)["fields"]
+    assert fields[-1] == {"name": marker, "type": "boolean", "default": True} and marker == "decoded"
+    again, other = marked_schema(reader)
+    assert other == "_decoded" and len(json.loads(again)["fields"]) == len(fields) + 1
+
+
+def test_damaged_avro_is_told_by_the_marker(spark, monkeypatch):
+    """Spark's decoder gives a record of nulls for a damaged payload; a stand-in does so here."""
+    asked = {}
+
+    def decoder(column, schema, options):
+        asked.update(options, schema=schema)
+        kinds = {"id": "string", "over": "int", "inner": "struct<n:int,tags:array<string>>"}
+        nulls = [F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
+        good = F.when(column.cast("string") != "damaged", F.lit(True))
+        whole = F.struct(F.when(column.cast("string") == "full", "x").alias("id"), *nulls[1:], good.alias("decoded"))
+        return F.when(column.isNotNull(), whole)
+
+    monkeypatch.setattr(messages_module, "from_avro", decoder)
+    rows = spark.createDataFrame([("full",), ("empty",), ("damaged",), (None,)], "value string")
+    decoded = decode_messages(rows, RECORD, codec="avro")
+    assert asked["schema"] == RECORD and asked["mode"] == "PERMISSIVE" and asked["avroSchema"] == marked_schema(RECORD)[0]
+    assert decoded.schema["record"].dataType.names == ["id", "over", "inner"]
+    got = {r["value"]: r for r in decoded.collect()}
+    assert [got[v]["_bad"] for v in ("full", "empty", "damaged", None)] == [False, False, True, True]
+    assert got["full"]["record"]["id"] == "x" and got["empty"]["record"] is not None
+    assert got["damaged"]["record"] is None
+    good, bad = route_dead_letters(decoded)
+    assert values(bad.select("payloadString")) == [("",), ("damaged",)] and good.count() == 2
+
+
+def test_attributes_of_maps_pairs_and_others(spark):
+    rows = spark.sql(
+        "SELECT map('a', 1) AS m, array(named_struct('k', 'x', 'v', X'79')) AS p, 1 AS n "
+        "UNION ALL SELECT null, null, 2"
+    )
+    pairs = rows.select(attribute_pairs(rows, "m").alias("m"), attribute_pairs(rows, F.col("p")).alias("p"))
+    assert [tuple(map(tuple, r["m"])) for r in pairs.collect()] == [(("a", "1"),), ()]
+    assert [tuple(map(tuple, r["p"])) for r in pairs.collect()] == [(("x", "y"),), ()]
+    with pytest.raises(ValueError, match="attributes"):
+        attribute_pairs(rows, "n")
+
+
+def test_a_replayed_batch_gives_each_letter_once(spark, tmp_path):
+    rows = spark.createDataFrame([("bad",), ("worse",)], "value string")
+    letters = route_dead_letters(decode_messages(rows, RECORD))[1]
+    for fmt in ("parquet", "json"):
+        write = dead_letter_files(f"{tmp_path}/{fmt}", fmt)
+        for batch, number in ((letters, 0), (letters, 0), (letters.limit(1), 1)):
+            write(batch, number)
+        back = read_dead_letters(spark, f"{tmp_path}/{fmt}", fmt)
+        assert back.groupBy("query", "batch").count().orderBy("batch").collect() == [("none", 0, 2), ("none", 1, 1)]
+
+
+def test_letters_of_an_earlier_query_stay(spark, feed, tmp_path):
+    def run(checkpoint):
+        bad = route_dead_letters(decode_messages(feed.read(), RECORD))[1]
+        stream = bad.writeStream.option("checkpointLocation", f"{tmp_path}/{checkpoint}")
+        stream.trigger(availableNow=True).foreachBatch(dead_letter_files(f"{tmp_path}/dead")).start().awaitTermination()
+
+    feed.send((1, "one"), (2, "two"))
+    run("a")
+    run("b")
+    feed.send((3, "three"))
+    run("b")
+    back = read_dead_letters(spark, f"{tmp_path}/dead")
+    assert back.count() == 5 and back.select("query").distinct().count() == 2
+    assert back.where("query = 'none'").count() == 0
+
+
+def test_a_batch_that_failed_half_way_is_replaced_on_restart(spark, feed, tmp_path):
+    feed.send((1, "one"), (2, "two"))
+    write, tries = dead_letter_files(f"{tmp_path}/dead"), []
+
+    def failing(batch, number):
+        write(batch, number)
+        tries.append(number)
+        if len(tries) == 1:
+            raise RuntimeError("after the write")
+
+    def run():
+        bad = route_dead_letters(decode_messages(feed.read(), RECORD))[1]
+        stream = bad.writeStream.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True)
+        stream.foreachBatch(failing).start().awaitTermination()
+
+    with pytest.raises(Exception, match="after the write"):
+        run()
+    run()
+    assert tries == [0, 0]
+    assert values(read_dead_letters(spark, f"{tmp_path}/dead").select("payloadString")) == [("one",), ("two",)]
+
+
+def test_letters_to_a_sink_without_folders(spark, tmp_path):
+    rows = spark.createDataFrame([("bad", [("k", "v")])], "value string, attributes array<struct<key:string,value:string>>")
+    letters = route_dead_letters(decode_messages(rows, RECORD))[1]
+    dead_letter_messages("json", {"path": f"{tmp_path}/sink"})(letters, 3)
+    row = spark.read.json(f"{tmp_path}/sink").first()
+    assert row["key"] == "none-3" and json.loads(row["value"])["payloadString"] == "bad"
+    assert row["headers"][0]["key"] == "k"
+
+
+def test_a_failed_query_stops_the_other(spark, feed, tmp_path):
+    feed.send((1, "bad"), (2, '{"id":"1"}'))
+
+    def failing(batch, number):
+        raise RuntimeError("no room for letters")
+
+    queries = records_to_window_files(
+        decode_messages(feed.read(), RECORD), f"{tmp_path}/out", f"{tmp_path}/cp", failing, trigger={"processingTime": "1 second"}
+    )
+    with pytest.raises(Exception, match="no room for letters"):
+        await_all(queries)
+    assert not any(q.isActive for q in queries)

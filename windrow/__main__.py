@@ -8,9 +8,12 @@ from pyspark.sql import SparkSession
 
 from windrow.plans import match_batsman_runs, messages_to_window_files, records_to_window_files
 from windrow.plans.batch import outs_lines
+from windrow.plans.streams import await_all
 from windrow.session import build_session
 from windrow.sinks import append_table, names, write_single_text
 from windrow.sources import (
+    dead_letter_files,
+    dead_letter_messages,
     load_avro_schema,
     read_lines,
     read_messages,
@@ -63,8 +66,10 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--available-now", action="store_true", help="stop when caught up")
     records.add_argument("--schema-path", required=True)
     records.add_argument("--codec", choices=["json", "avro"], default="json")
-    records.add_argument("--dead-letter-path", required=True)
+    records.add_argument("--dead-letter-path", help="a folder; without it a sink that needs none")
     records.add_argument("--dead-letter-format", default="parquet")
+    records.add_argument("--dead-letter-option", action="append", default=[], metavar="NAME=VALUE")
+    records.add_argument("--attributes-column", help="message headers, kept in dead letters")
     return parser
 
 
@@ -77,6 +82,13 @@ def _source(args: argparse.Namespace) -> dict:
     }
 
 
+def _dead_letters(args: argparse.Namespace):
+    options = dict(option.split("=", 1) for option in args.dead_letter_option)
+    if args.dead_letter_path:
+        return dead_letter_files(args.dead_letter_path, args.dead_letter_format, options)
+    return dead_letter_messages(args.dead_letter_format, options)
+
+
 def _stream_settings(args: argparse.Namespace) -> dict:
     return {
         "length": args.window_duration,
@@ -118,16 +130,22 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     else:
         record = load_avro_schema(spark, args.schema_path)
         decoded = read_typed_messages(
-            spark, args.input_format, record, codec=args.codec, **_source(args)
+            spark,
+            args.input_format,
+            record,
+            codec=args.codec,
+            attributes=args.attributes_column,
+            **_source(args),
+        )
+        await_all(
+            records_to_window_files(
+                decoded,
+                args.output_directory,
+                args.checkpoint,
+                _dead_letters(args),
+                **_stream_settings(args),
+            )
         )
-        for query in records_to_window_files(
-            decoded,
-            args.output_directory,
-            args.checkpoint,
-            lambda batch, _: batch.write.mode("append").format(args.dead_letter_format).save(args.dead_letter_path),
-            **_stream_settings(args),
-        ):
-            query.awaitTermination()
 
 
 if __name__ == "__main__":

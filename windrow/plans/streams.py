@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from windrow import hadoop
 from windrow.operators.shape import records_to_rows, row_to_delimited
-from windrow.sources.dead_letters import route_dead_letters
+from windrow.sources.dead_letters import dead_letter_files, route_dead_letters
 from windrow.streaming.sink import windowed_sink
 from windrow.streaming.windows import WINDOW_LENGTH, finalize_window
 
@@ -38,7 +38,7 @@ def records_to_window_files(
     decoded: DataFrame,
     directory: str,
     checkpoint: str,
-    write_dead_letters: Callable[[DataFrame, int], None],
+    write_dead_letters: Callable[[DataFrame, int], None] | str,
     length: str = WINDOW_LENGTH,
     delay: str = "0 seconds",
     trigger: dict | None = None,
@@ -46,10 +46,15 @@ def records_to_window_files(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Decoded messages to one set of files per window, bad payloads to a dead-letter writer.
 
+    ``write_dead_letters`` is a path, where each batch replaces its own folder, or a
+    function of a batch and its number.
+
     Two queries read the source. Dead letters leave at once and whatever their
     event time, so they cannot share the windowed query, which holds rows back
     and drops late ones.
     """
+    if isinstance(write_dead_letters, str):
+        write_dead_letters = dead_letter_files(write_dead_letters)
     good, bad = route_dead_letters(decoded)
     files = messages_to_window_files(
         records_to_lines(good),
@@ -67,3 +72,15 @@ def records_to_window_files(
         .start()
     )
     return files, letters
+
+
+def await_all(queries: tuple[StreamingQuery, ...]) -> None:
+    """Wait until every query has ended; one that fails stops the others and raises."""
+    open_queries = list(queries)
+    try:
+        while open_queries:
+            # A failed query raises here.
+            open_queries = [q for q in open_queries if not q.awaitTermination(0.2)]
+    finally:
+        for query in open_queries:
+            query.stop()
