@@ -52,6 +52,7 @@ from windrow.sinks import (
     windowed_filename,
     write_one_file_per_window,
     write_single_text,
+    write_windowed_partitions,
     write_windowed_text,
 )
 from windrow.sinks.names import hour_minute_filename
@@ -515,6 +516,25 @@ def q_write_windowed_text_sharded(spark: SparkSession, sf_dir: str) -> DataFrame
     return back.select(folder.alias("folder"), name.alias("name"), "value")
 
 
+def q_write_windowed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row twice in eight shards, then once in one: no file of the first write may stay."""
+    out = scratch_dir(spark, "partitions")
+    windowed = tumbling_window(messages(spark, sf_dir), "6h")
+    write_windowed_partitions(windowed.union(windowed), out, num_shards=8)
+    write_windowed_partitions(windowed, out)
+    back = spark.read.text(out)
+    return back.select(F.col("day").cast("string").alias("day"), "window", "value")
+
+
+def q_rewrite_windowed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows with eight shards written again with as many as their rows need."""
+    out = scratch_dir(spark, "rewritten")
+    windowed = tumbling_window(messages(spark, sf_dir), "6h")
+    write_windowed_text(windowed, f"{out}/{DATE_DIRS}", num_shards=8, **WRAPPED)
+    write_windowed_text(windowed, f"{out}/{DATE_DIRS}", num_shards=None, **WRAPPED)
+    return _read_back(spark, out)
+
+
 def q_write_one_file_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "per-window")
     windowed = tumbling_window(messages(spark, sf_dir), "1h")
@@ -608,6 +628,32 @@ def q_stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, out)
 
 
+def q_stream_messages_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that are not finished: files of single batches, whose panes are left out here."""
+    base = scratch_dir(spark, "per-batch")
+    source, out = hadoop.join(base, "in"), hadoop.join(base, "out")
+    messages(spark, sf_dir).repartition(2).write.parquet(source)
+    stream = read_messages(
+        spark,
+        "parquet",
+        {"path": source, "maxFilesPerTrigger": "1"},
+        "value string, ts timestamp",
+        time="ts",
+    )
+    query = messages_to_window_files(
+        stream,
+        f"{out}/{DATE_DIRS}",
+        hadoop.join(base, "checkpoint"),
+        length="6h",
+        trigger={"availableNow": True},
+        finalize=False,
+        **WRAPPED,
+    )
+    query.awaitTermination()
+    name = F.regexp_replace("path", "-pane-[0-9a-f]{8}-[0-9]+-", "-pane-x-")
+    return _read_back(spark, out).select(name.alias("path"), "value")
+
+
 def q_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "records")
     source, out, dead = (hadoop.join(base, d) for d in ("in", "out", "dead"))
@@ -755,6 +801,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_single_text": q_write_single_text,
         "write_windowed_text": q_write_windowed_text,
         "write_windowed_text_sharded": q_write_windowed_text_sharded,
+        "write_windowed_partitions": q_write_windowed_partitions,
+        "rewrite_windowed_text": q_rewrite_windowed_text,
+        "stream_messages_per_batch": q_stream_messages_per_batch,
         "windowed_filename": q_windowed_filename,
         "resolve_date_dirs": q_resolve_date_dirs,
         "shard_lines": q_shard_lines,
@@ -925,6 +974,21 @@ def _own_sql() -> dict[str, str]:
                    {_window_name(6, "output", "xx-of-08", "")} AS name,
                    props AS value
             FROM events""",
+        "write_windowed_partitions": """
+            SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR, '%Y-%m-%d') AS day,
+                   strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y%m%dT%H%M%SZ') || '-' ||
+                   strftime(time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR, '%Y%m%dT%H%M%SZ')
+                     AS "window", props AS value
+            FROM events""",
+        "rewrite_windowed_text": f"""
+            SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR, '%Y/%m/%d/')
+                     || {_window_name(6, "output", "00-of-01", "")} AS path, props AS value
+            FROM events""",
+        "stream_messages_per_batch": f"""
+            SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR, '%Y/%m/%d/')
+                     || replace({_window_name(6, "output", "00-of-01", "")}, '-pane-0-last-', '-pane-x-')
+                     AS path, props AS value
+            FROM events""",
         "windowed_filename": """
             SELECT 'windowed-file' || strftime(w, '%Y%m%dT%H%M%SZ') || '-' ||
                    strftime(w + INTERVAL 1 MINUTE, '%Y%m%dT%H%M%SZ') ||

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from windrow.plans import messages_to_window_files, records_to_window_files
 from windrow.plans.streams import await_all
 from windrow.schemas import DEAD_LETTER, avro_to_struct
-from windrow.sinks import write_one_file_per_window
+from windrow.sinks import write_one_file_per_window, write_windowed_partitions
 from windrow.sources import (
     dead_letter_files,
     dead_letter_messages,
@@ -60,7 +60,8 @@ def feed(spark, tmp_path):
 
 def _files(out):
     found = {}
-    for folder, _, names in os.walk(out):
+    for folder, folders, names in os.walk(out):
+        folders[:] = [f for f in folders if not f.startswith("_")]
         for name in names:
             if not name.endswith(".crc"):
                 with open(os.path.join(folder, name)) as f:
@@ -427,3 +428,43 @@ def test_a_failed_query_stops_the_other(spark, feed, tmp_path):
     with pytest.raises(Exception, match="no room for letters"):
         await_all(queries)
     assert not any(q.isActive for q in queries)
+
+
+def test_batches_write_files_of_their_own_without_waiting(spark, feed, tmp_path):
+    out = f"{tmp_path}/out"
+
+    def run(checkpoint="cp", **more):
+        messages_to_window_files(
+            feed.read(), out, f"{tmp_path}/{checkpoint}", trigger={"availableNow": True}, finalize=False, **more
+        ).awaitTermination()
+
+    feed.send((1, "a"), (2, "b"), (70, "c"))
+    run()
+    first = _files(out)
+    assert sorted(first.values()) == [["a", "b"], ["c"]] and all("-pane-" in n and "-0-00-of-01" in n for n in first)
+    feed.send((3, "late, and kept"))
+    run()
+    assert sorted(_files(out).values()) == [["a", "b"], ["c"], ["late, and kept"]]
+    # The last batch runs again, as after a crash, and with other shards.
+    os.remove(f"{tmp_path}/cp/commits/1")
+    crc = f"{tmp_path}/cp/commits/.1.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    run()
+    assert sorted(_files(out).values()) == [["a", "b"], ["c"], ["late, and kept"]]
+    run("other")
+    assert sorted(sum(_files(out).values(), [])) == ["a", "a", "b", "b", "c", "c", "late, and kept", "late, and kept"]
+    with pytest.raises(ValueError, match="no P|need a P"):
+        run("third", template="W-SS")
+    with pytest.raises(ValueError, match="per batch"):
+        run("third", writer=write_one_file_per_window)
+
+
+def test_a_stream_to_folders_of_windows(spark, feed, tmp_path):
+    out = f"{tmp_path}/out"
+    feed.send((1, "a"), (2, "b"), (70, "c"), (200, "end"))
+    messages_to_window_files(
+        feed.read(), out, f"{tmp_path}/cp", trigger={"availableNow": True}, writer=write_windowed_partitions, num_shards=2
+    ).awaitTermination()
+    back = spark.read.text(out)
+    assert values(back.select("value", F.substring("window", 10, 6))) == [("a", "000000"), ("b", "000000"), ("c", "000100")]

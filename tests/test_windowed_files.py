@@ -16,6 +16,7 @@ from windrow.sinks import (
     windowed_filename,
     write_one_file_per_window,
     write_single_text,
+    write_windowed_partitions,
     write_windowed_text,
 )
 from windrow.sinks.names import hour_minute_filename
@@ -125,7 +126,7 @@ def test_write_windowed_text(spark, tmp_path):
         "output20210202T000000Z-20210202T000100Z-pane-0-last-00-of-01": ["d"],
     }
     assert files[0].startswith(f"{out}/2021/02-01/") and files[2].startswith(f"{out}/2021/02-02/")
-    assert glob.glob(f"{out}/_staging/*") == []
+    assert glob.glob(f"{out}/_staging/*/*") == []
     again = write_windowed_text(_windowed(spark, ROWS), f"{out}/{{yyyy}}/{{MM}}-{{dd}}/", **BRACED)
     assert again == files and _lines_of(files) == _lines_of(again)
 
@@ -288,3 +289,116 @@ def test_a_given_shard_number_is_exact(spark):
     windowed = tumbling_window(rows, "1 minute")
     assert shard_lines(windowed, 2).select("shards").distinct().collect() == [(2,)]
     assert shard_lines(windowed, None, 10).select("shards").distinct().collect() == [(5,)]
+
+
+def _all_lines(out):
+    found = []
+    for folder, folders, files in os.walk(out):
+        folders[:] = [f for f in folders if not f.startswith("_")]
+        for name in files:
+            if not name.startswith("."):
+                with open(os.path.join(folder, name)) as f:
+                    found += f.read().split("\n")[:-1]
+    return sorted(found)
+
+
+def _numbered(spark, n, minute=0):
+    at = F.expr(f"timestamp '2021-02-01 00:0{minute}:10'").alias("ts")
+    return tumbling_window(spark.range(n).select(F.col("id").cast("string").alias("value"), at))
+
+
+def test_a_window_written_again_keeps_no_older_shards(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    write_windowed_text(_numbered(spark, 10), out, num_shards=None, rows_per_shard=3)
+    write_windowed_text(_numbered(spark, 4, minute=1), out, num_shards=2)
+    (tmp_path / "out" / "not ours-00-of-09").write_text("")
+    write_windowed_text(_numbered(spark, 3), out, num_shards=None, rows_per_shard=5)
+    assert _all_lines(out) == sorted(["0", "1", "2", "0", "1", "2", "3"])
+    # Other settings are another output: their files stay.
+    write_windowed_text(_numbered(spark, 2), out, suffix=".txt")
+    write_windowed_text(_numbered(spark, 5, minute=1), out, num_shards=3)
+    assert _all_lines(out) == sorted(["0", "1", "2", "0", "1", "2", "3", "4", "0", "1"])
+    assert os.path.exists(f"{out}/not ours-00-of-09")
+
+
+@pytest.mark.parametrize("renames", [0, 1, 2, 3])
+def test_a_broken_off_write_is_finished_by_the_next(spark, tmp_path, monkeypatch, renames):
+    out = f"{tmp_path}/out"
+    write_windowed_text(_numbered(spark, 40), out, num_shards=4)
+    whole, done = hadoop.replace_all, []
+
+    def killed(session, moves, moved_before=False):
+        moves = list(moves)
+        if not moved_before:
+            return whole(session, moves)
+        whole(session, moves[:renames], moved_before)
+        done.append(len(moves))
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(hadoop, "replace_all", killed)
+    with pytest.raises(KeyboardInterrupt):
+        write_windowed_text(_numbered(spark, 30), out, num_shards=3)
+    monkeypatch.undo()
+    assert done == [3] and glob.glob(f"{out}/_staging/*/*/_journal.json")
+    write_windowed_text(_numbered(spark, 5, minute=1), out)
+    assert _all_lines(out) == sorted([str(i) for i in range(30)] + [str(i) for i in range(5)])
+    assert glob.glob(f"{out}/_staging/*/*") == []
+    names = [n for n in os.listdir(out) if n[0] not in "._"]
+    assert sorted(n[-8:] for n in names) == ["00-of-01", "00-of-03", "01-of-03", "02-of-03"]
+
+
+def test_a_write_broken_off_late_is_finished(spark, tmp_path, monkeypatch):
+    out = f"{tmp_path}/out"
+    write_windowed_text(_numbered(spark, 40), out, num_shards=4)
+    for step in ("delete_all", "write_text"):
+        whole, calls = getattr(hadoop, step), []
+
+        def killed(*args):
+            calls.append(args)
+            if len(calls) == (1 if step == "delete_all" else 2):
+                raise KeyboardInterrupt
+            return whole(*args)
+
+        monkeypatch.setattr(hadoop, step, killed)
+        with pytest.raises(KeyboardInterrupt):
+            write_windowed_text(_numbered(spark, 7), out, num_shards=2)
+        monkeypatch.undo()
+    write_windowed_text(_numbered(spark, 1, minute=1), out)
+    assert _all_lines(out) == sorted([str(i) for i in range(7)] + ["0"])
+
+
+def test_panes_do_not_replace_each_other(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    for pane, n in (("pane-1", 4), ("pane-2", 2), ("pane-2", 1)):
+        write_windowed_text(_numbered(spark, n), out, pane=pane, num_shards=2)
+    assert _all_lines(out) == ["0", "0", "1", "2", "3"]
+    with pytest.raises(ValueError, match="no P"):
+        write_windowed_text(_numbered(spark, 1), out, pane="pane-3", template="W-SS")
+
+
+def test_write_windowed_partitions(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    write_windowed_partitions(_windowed(spark, ROWS), out, num_shards=3)
+    write_windowed_partitions(_windowed(spark, [("x", "2021-02-01 00:00:30")]), out)
+    back = spark.read.text(out).selectExpr("cast(day as string)", "window", "value")
+    assert values(back) == [
+        ("2021-02-01", "20210201T000000Z-20210201T000100Z", "x"),
+        ("2021-02-01", "20210201T000100Z-20210201T000200Z", "c"),
+        ("2021-02-02", "20210202T000000Z-20210202T000100Z", "d"),
+    ]
+    write_windowed_partitions(_windowed(spark, ROWS).where("false"), out)
+    assert spark.read.text(out).count() == 3
+    with pytest.raises(ValueError, match="no window"):
+        write_windowed_partitions(_windowed(spark, ROWS).drop("window"), out)
+
+
+def test_files_move_between_file_systems(spark, tmp_path):
+    (tmp_path / "a").write_text("new")
+    (tmp_path / "b").write_text("old")
+    # Hadoop's viewfs over the local disk is another file system by its address.
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.far.link./d", f"file://{tmp_path}")
+    hadoop.replace_all(spark, [("viewfs://far/d/a", f"{tmp_path}/b")])
+    assert (tmp_path / "b").read_text() == "new" and not (tmp_path / "a").exists()
+    hadoop.replace_all(spark, [("viewfs://far/d/a", f"{tmp_path}/b")], moved_before=True)
+    assert (tmp_path / "b").read_text() == "new"

@@ -10,7 +10,7 @@ from windrow.plans import match_batsman_runs, messages_to_window_files, records_
 from windrow.plans.batch import outs_lines
 from windrow.plans.streams import await_all
 from windrow.session import build_session
-from windrow.sinks import append_table, names, write_single_text
+from windrow.sinks import append_table, names, write_single_text, write_windowed_partitions
 from windrow.sources import (
     dead_letter_files,
     dead_letter_messages,
@@ -63,6 +63,12 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--day-pattern", default=names.DAY)
         stream.add_argument("--hour-pattern", default=names.HOUR)
         stream.add_argument("--minute-pattern", default=names.MINUTE)
+        stream.add_argument(
+            "--layout", choices=["names", "hive"], default="names", help="hive: a folder per window"
+        )
+        stream.add_argument(
+            "--per-batch", action="store_true", help="write each batch at once, keep no windows open"
+        )
         stream.add_argument("--available-now", action="store_true", help="stop when caught up")
     records.add_argument("--schema-path", required=True)
     records.add_argument("--codec", choices=["json", "avro"], default="json")
@@ -90,14 +96,20 @@ def _dead_letters(args: argparse.Namespace):
 
 
 def _stream_settings(args: argparse.Namespace) -> dict:
-    return {
+    settings = {
         "length": args.window_duration,
         "delay": args.allowed_delay,
         "trigger": {"availableNow": True} if args.available_now else None,
+        "finalize": not args.per_batch,
+        "num_shards": args.num_shards or None,
+    }
+    if args.layout == "hive":
+        return {**settings, "writer": write_windowed_partitions}
+    return {
+        **settings,
         "prefix": args.output_filename_prefix,
         "suffix": args.output_filename_suffix,
         "template": args.output_shard_template,
-        "num_shards": args.num_shards or None,
         "year": args.year_pattern,
         "month": args.month_pattern,
         "day": args.day_pattern,

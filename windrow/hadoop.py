@@ -59,22 +59,58 @@ def literal(text: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", text)
 
 
-def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
-    """Rename files, replacing what stands at the target. Only metadata moves.
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; at its path stands the old text or the whole new one."""
+    part = f"{path.rpartition('/')[0]}/.{path.rpartition('/')[2]}.{uuid.uuid4().hex}"
+    stream = _fs(spark, part).create(_path(spark, part), True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    replace_all(spark, [(part, path)])
+
+
+def delete_all(spark: SparkSession, paths: Iterable[str]) -> None:
+    paths = list(paths)
+    if paths:
+        with ThreadPoolExecutor(RENAME_THREADS) as pool:
+            list(pool.map(lambda path: delete(spark, path), paths))
+
+
+def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]], moved_before: bool = False) -> None:
+    """Rename files, replacing what stands at the target. Only metadata moves, but for a target on
+    another file system than its source, which is copied beside the target first.
 
     A file that stands there is set aside first and put back if the rename
-    fails, so no target is left without its old or its new file.
+    fails, so no target is left without its old or its new file. With ``moved_before``
+    a missing source is one that was moved in an earlier try.
     """
     moves = list(moves)
     if not moves:
         return
-    fs = _fs(spark, moves[0][1])
-    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to_path = jvm.org.apache.hadoop.fs.Path
+    fs, source_fs = _fs(spark, moves[0][1]), _fs(spark, moves[0][0])
+    near = fs.getUri().equals(source_fs.getUri())
     parents = {target.rsplit("/", 1)[0] for _, target in moves}
 
     def move(pair: tuple[str, str]) -> None:
         source, target = to_path(pair[0]), to_path(pair[1])
         aside = None
+        if moved_before and not source_fs.exists(source):
+            return
+        if not near:
+            part = to_path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+            jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, source, fs, part, False, conf)
+            far, source = source, part
         if fs.exists(target):
             aside = to_path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
             if not fs.rename(target, aside):
@@ -88,6 +124,8 @@ def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
             raise
         if aside is not None:
             fs.delete(aside, False)
+        if not near:
+            source_fs.delete(far, False)
 
     with ThreadPoolExecutor(RENAME_THREADS) as pool:
         list(pool.map(lambda parent: fs.mkdirs(to_path(parent)), parents))

@@ -11,7 +11,7 @@ from windrow import hadoop
 from windrow.operators.shape import records_to_rows, row_to_delimited
 from windrow.sources.dead_letters import dead_letter_files, route_dead_letters
 from windrow.streaming.sink import windowed_sink
-from windrow.streaming.windows import WINDOW_LENGTH, finalize_window
+from windrow.streaming.windows import WINDOW_LENGTH, finalize_window, tumbling_window
 
 
 def messages_to_window_files(
@@ -21,11 +21,20 @@ def messages_to_window_files(
     length: str = WINDOW_LENGTH,
     delay: str = "0 seconds",
     trigger: dict | None = None,
+    finalize: bool = True,
     **naming,
 ) -> StreamingQuery:
-    """Text messages to one set of files per window."""
-    finished = finalize_window(messages, length, delay)
-    return windowed_sink(finished, directory, checkpoint, trigger, **naming)
+    """Text messages to one set of files per window.
+
+    Without ``finalize`` no window waits for its end and nothing is kept between
+    batches: every batch writes what it has as files of its own, whose pane names the
+    batch, and no row is late.
+    """
+    if finalize:
+        rows = finalize_window(messages, length, delay)
+    else:
+        rows = tumbling_window(messages, length)
+    return windowed_sink(rows, directory, checkpoint, trigger, per_batch=not finalize, **naming)
 
 
 def records_to_lines(decoded: DataFrame) -> DataFrame:
@@ -42,6 +51,7 @@ def records_to_window_files(
     length: str = WINDOW_LENGTH,
     delay: str = "0 seconds",
     trigger: dict | None = None,
+    finalize: bool = True,
     **naming,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Decoded messages to one set of files per window, bad payloads to a dead-letter writer.
@@ -63,6 +73,7 @@ def records_to_window_files(
         length,
         delay,
         trigger,
+        finalize,
         **naming,
     )
     letters = (

@@ -18,6 +18,9 @@ SETTINGS = {
     ),
 }
 
+# Spark's name for the id that a stream keeps in its checkpoint, among a job's local properties.
+QUERY_ID = "sql.streaming.queryId"
+
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with this package's settings; keyword arguments use ``__`` for dots."""

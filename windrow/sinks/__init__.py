@@ -1,7 +1,11 @@
 from windrow.sinks.names import resolve_date_dirs, windowed_filename
 from windrow.sinks.tables import append_table, write_avro_file
 from windrow.sinks.text import write_single_text
-from windrow.sinks.windowed import write_one_file_per_window, write_windowed_text
+from windrow.sinks.windowed import (
+    write_one_file_per_window,
+    write_windowed_partitions,
+    write_windowed_text,
+)
 
 __all__ = [
     "append_table",
@@ -10,5 +14,6 @@ __all__ = [
     "write_avro_file",
     "write_one_file_per_window",
     "write_single_text",
+    "write_windowed_partitions",
     "write_windowed_text",
 ]

@@ -95,6 +95,11 @@ def resolve_date_dirs(
     return path
 
 
+def window_text(start: Column, end: Column) -> Column:
+    """The window as ``start-end`` in a file name."""
+    return F.concat_ws("-", F.date_format(start, WINDOW_TIME), F.date_format(end, WINDOW_TIME))
+
+
 def windowed_filename(
     start: Column,
     end: Column,
@@ -103,9 +108,10 @@ def windowed_filename(
     prefix: str | None = PREFIX,
     template: str | None = SHARD_TEMPLATE,
     suffix: str | None = SUFFIX,
+    pane: str = PANE,
 ) -> Column:
     """Prefix, filled-in shard template and suffix; missing parts are empty."""
-    window = F.concat_ws("-", F.date_format(start, WINDOW_TIME), F.date_format(end, WINDOW_TIME))
+    window = window_text(start, end)
     pieces = [F.lit(prefix or "")]
     for run in re.findall("S+|N+|W|P|[^SNWP]+", template or ""):
         if run[0] == "S":
@@ -115,7 +121,7 @@ def windowed_filename(
         elif run == "W":
             pieces.append(window)
         else:
-            pieces.append(F.lit(PANE if run == "P" else run))
+            pieces.append(F.lit(pane if run == "P" else run))
     return F.concat(*pieces, F.lit(suffix or ""))
 
 

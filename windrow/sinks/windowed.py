@@ -2,16 +2,20 @@
 
 Rows carry only two numbers for their window and one for their shard. They are
 shuffled once, so that each file is written by one task, into a staging folder;
-then the driver renames the files. Directories and names are computed from the
-list of files written, not per row.
+then a journalled commit renames the files. Directories and names are computed
+from the list of files written, not per row.
+
+``write_windowed_partitions`` has another layout, for stores where a rename is a
+copy: a folder per window, replaced by Spark's own dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from windrow import hadoop
@@ -25,7 +29,7 @@ from windrow.operators.skew import (
     with_slices,
 )
 from windrow.session import require_utc
-from windrow.sinks import names
+from windrow.sinks import commits, names
 
 # Rows per file where the rows decide on the number of shards.
 ROWS_PER_SHARD = 5_000_000
@@ -81,20 +85,28 @@ def write_windowed_text(
     temp_dir: str | None = None,
     rows_per_shard: int | None = None,
     run_label: str | None = None,
+    pane: str = names.PANE,
 ) -> list[str]:
     """Write ``value`` lines of windowed rows to files named by window and shard.
 
     The directory may hold date patterns, filled in from the window end. A file
-    is a function of window and shard, so writing a batch again replaces its
-    files. ``run_label`` names the staging folder, so that a run repeated after a
-    crash clears what the first one left. Returns the paths.
+    is a function of window and shard, and a window written again loses the files
+    that it no longer has, so writing a batch again replaces it whole. ``run_label``
+    names the staging folder, so that a run repeated after a crash clears what the
+    first one left. A commit that broke off is finished by the next write with the
+    same settings; until then its staged files stay. Returns the paths.
+
+    ``pane`` fills the template's P. Files of different panes do not replace each
+    other, so another pane than the default needs a P in the template.
 
     For the number of files per window see ``shard_lines``.
     """
+    if pane != names.PANE and "P" not in (template or ""):
+        raise ValueError(f"the template {template!r} has no P to tell the pane {pane} from others")
 
     def path(start: Column, end: Column, shard: Column, shards: Column) -> Column:
         folder = names.resolve_date_dirs(directory, end, year, month, day, hour, minute)
-        file = names.windowed_filename(start, end, shard, shards, prefix, template, suffix)
+        file = names.windowed_filename(start, end, shard, shards, prefix, template, suffix, pane)
         return F.concat(folder, file)
 
     patterns = [
@@ -105,7 +117,8 @@ def write_windowed_text(
         minute or names.FALLBACK_MINUTE,
     ]
     staging = temp_dir or _fixed_part(directory, patterns)
-    return _write(df, path, staging, num_shards, rows_per_shard, run_label)
+    output = repr((directory, prefix, suffix, template, patterns))
+    return _write(df, path, staging, num_shards, rows_per_shard, run_label, output, pane=pane)
 
 
 def _fixed_part(directory: str, patterns: list[str]) -> str:
@@ -148,27 +161,66 @@ def write_one_file_per_window(
         days = [] if legacy_names else [F.date_format(start, "yyyy-MM-dd"), F.lit("/")]
         return F.concat(F.lit(folder + "/"), *days, file)
 
-    replace = not legacy_names
-    return _write(df, path, folder, num_shards, rows_per_shard, run_label, replace)
+    output = repr((prefix, suffix, legacy_names, time_format))
+    return _write(
+        df, path, folder, num_shards, rows_per_shard, run_label, output, replace=not legacy_names
+    )
+
+
+def write_windowed_partitions(
+    df: DataFrame,
+    directory: str,
+    num_shards: int | None = 1,
+    rows_per_shard: int | None = None,
+    run_label: str | None = None,
+) -> None:
+    """Write ``value`` lines to ``day=<end day>/window=<start>-<end>/part-*`` below a directory.
+
+    The folders of the windows in ``df`` are replaced as a whole by Spark's dynamic
+    partition overwrite, so a window written again keeps no older file, and folders of
+    other windows stay. A window has at most as many files as shards. There is no
+    staging of this library's own and no list of files on the driver, so ``run_label`` has no use here.
+    """
+    _require_windows(df)
+    needed = [c for c in ("value", "ts", "window", COPY) if c in df.columns]
+    sharded = shard_lines(df.select(*needed), num_shards, rows_per_shard)
+    start, end = F.col("window.start"), F.col("window.end")
+    placed = spread(sharded, "window.start", "window.end", "shard").select(
+        "value",
+        F.date_format(end, "yyyy-MM-dd").alias("day"),
+        names.window_text(start, end).alias("window"),
+    )
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day", "window").text(directory)
+
+
+def _require_windows(df: DataFrame) -> None:
+    if "window" not in df.columns:
+        raise ValueError("rows have no window; only windowed rows can be written per window")
+    require_utc(df.sparkSession)
 
 
 def _write(
     df: DataFrame,
     path: Callable[[Column, Column, Column, Column], Column],
-    staging_base: str,
+    base: str,
     num_shards: int | None,
     rows_per_shard: int | None,
     run_label: str | None,
+    output: str,
     replace: bool = True,
+    pane: str = names.PANE,
 ) -> list[str]:
-    if "window" not in df.columns:
-        raise ValueError("rows have no window; only windowed rows can be written per window")
+    _require_windows(df)
     spark = df.sparkSession
-    require_utc(spark)
     # Fails on a bad pattern or template before any work is done.
     path(F.current_timestamp(), F.current_timestamp(), F.lit(0), F.lit(1))
 
-    staging = hadoop.join(staging_base, "_staging", run_label or uuid.uuid4().hex)
+    # Writers with other settings have other folders, so they may write at the same time.
+    output = hashlib.sha256(output.encode()).hexdigest()[:16]
+    staging_set = hadoop.join(base, commits.STAGING, output)
+    commits.finish_all(spark, staging_set)
+    staging = hadoop.join(staging_set, run_label or uuid.uuid4().hex)
     hadoop.delete(spark, staging)
     needed = [c for c in ("value", "ts", "window", COPY) if c in df.columns]
     sharded = shard_lines(df.select(*needed), num_shards, rows_per_shard)
@@ -180,25 +232,31 @@ def _write(
         "shards",
     )
     rows = sharded.select("value", file.alias(FILE))
-    # Tasks commit straight into staging; the renames below are the real commit.
+    # Tasks commit straight into staging; the journalled renames are the real commit.
     writer = spread(rows, FILE).write.option(COMMIT_IN_TASKS, "2")
-    writer.partitionBy(FILE).text(staging)
     try:
+        writer.partitionBy(FILE).text(staging)
         moves = _targets(spark, hadoop.glob_below(spark, staging, f"{FILE}=*/part-*"), path)
         if not replace:
-            _refuse_existing(spark, [target for _, target in moves])
-        hadoop.replace_all(spark, moves)
-    finally:
+            _refuse_existing(spark, [row["target"] for row in moves])
+        manifests = hadoop.join(base, commits.MANIFESTS, output, pane)
+        windows = commits.by_manifest(
+            manifests, [(row["day"], row["window"], row["target"]) for row in moves]
+        )
+        commits.decide(spark, staging, [(row["staged"], row["target"]) for row in moves], windows)
+    except Exception:
         hadoop.delete(spark, staging)
-    return sorted(target for _, target in moves)
+        raise
+    commits.finish(spark, staging)
+    return sorted(row["target"] for row in moves)
 
 
 def _targets(
     spark: SparkSession,
     staged: list[str],
     path: Callable[[Column, Column, Column, Column], Column],
-) -> list[tuple[str, str]]:
-    """Final paths for staged files, one row per file; two files may not share a path."""
+) -> list[Row]:
+    """Final path, day and window of staged files, one row per file; two files may not share a path."""
     if not staged:
         return []
     found = [(s, *map(int, s.split(f"{FILE}=")[1].split("/")[0].split("_"))) for s in staged]
@@ -206,14 +264,19 @@ def _targets(
     start, end = F.timestamp_micros("start"), F.timestamp_micros("end")
     moves = (
         spark.createDataFrame(found, schema)
-        .select("staged", path(start, end, F.col("shard"), F.col("shards")).alias("target"))
+        .select(
+            "staged",
+            path(start, end, F.col("shard"), F.col("shards")).alias("target"),
+            F.date_format(start, "yyyy-MM-dd").alias("day"),
+            F.concat_ws("_", "start", "end").alias("window"),
+        )
         .collect()
     )
     taken: dict[str, str] = {}
     for row in moves:
         if taken.setdefault(row["target"], row["staged"]) != row["staged"]:
             raise ValueError(f"two windows or shards share the file {row['target']}")
-    return [(row["staged"], row["target"]) for row in moves]
+    return moves
 
 
 def _refuse_existing(spark: SparkSession, targets: list[str]) -> None:

@@ -10,12 +10,11 @@ from pyspark.sql import types as T
 
 from windrow import hadoop
 from windrow.schemas import DEAD_LETTER
+from windrow.session import QUERY_ID
 from windrow.sources.messages import ATTRIBUTES, BAD
 
 ERROR_TEXT = "payload does not match the record schema"
 
-# Spark's name for the id that a query keeps in its checkpoint.
-QUERY_ID = "sql.streaming.queryId"
 NO_QUERY = "none"
 
 
