@@ -13,7 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow import hadoop
-from windrow.functions import cogroup_fn, composite, flat_map_fn, group_fn, map_fn, predicate_fn
+from windrow.functions import (
+    cogroup_fn,
+    composite,
+    flat_map_fn,
+    group_batches_fn,
+    group_fn,
+    map_fn,
+    predicate_fn,
+)
 from windrow.operators import (
     attach_nested,
     cogroup,
@@ -396,20 +404,20 @@ def q_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cogroup_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few keys that hold all rows, so every list comes in chunks; folded again here."""
+    """Few keys that hold all rows, so every list comes in chunks; opened again here."""
     items = _table(spark, sf_dir, "lineitem")
-    left = items.select(F.col("l_linestatus").alias("key"), F.col("l_linenumber").alias("line"))
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    left = items.select(F.col("l_linestatus").alias("key"), line.alias("line"))
     orders = _table(spark, sf_dir, "orders")
-    right = orders.select(F.col("o_orderstatus").alias("key"), F.col("o_custkey").alias("cust"))
+    right = orders.select(F.col("o_orderstatus").alias("key"), F.col("o_orderkey").alias("order"))
     lists = cogroup(left, right, "key", max_values=2_000)
-    lines = F.aggregate("left", F.lit(0).cast("bigint"), lambda t, s: t + s["line"])
-    custs = F.aggregate("right", F.lit(0).cast("bigint"), lambda t, s: t + s["cust"])
-    return lists.groupBy("key").agg(
-        F.sum(F.size("left")).alias("n_left"),
-        F.sum(F.size("right")).alias("n_right"),
-        F.sum(lines).alias("line_sum"),
-        F.sum(custs).alias("cust_sum"),
+    fits = (F.size("left") <= 2_000) & (F.size("right") <= 2_000)
+    lines = F.transform("left", lambda s: F.struct(F.lit("left").alias("side"), s["line"].alias("value")))
+    order = F.transform(
+        "right", lambda s: F.struct(F.lit("right").alias("side"), s["order"].cast("string").alias("value"))
     )
+    rows = lists.select("key", fits.alias("fits"), F.explode(F.concat(lines, order)).alias("row"))
+    return rows.select("key", "row.side", "row.value", "fits")
 
 
 def _lookup(spark: SparkSession, sf_dir: str, on_violation: str) -> DataFrame:
@@ -452,15 +460,13 @@ def q_group_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_group_by_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three keys with a third of all rows each, and many equal values; lists come in chunks."""
+    """Three keys with a third of all rows each; lists come in chunks and are opened again here."""
     rows = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_returnflag").alias("key"), F.col("l_linenumber").alias("value")
+        F.col("l_returnflag").alias("key"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("value")
     )
     lists = group_by_key(rows, max_values=4_096)
-    total = F.aggregate("values", F.lit(0).cast("bigint"), lambda t, v: t + v)
-    return lists.groupBy("key").agg(
-        F.sum(F.size("values")).alias("n_values"), F.sum(total).alias("total")
-    )
+    fits = (F.size("values") <= 4_096).alias("fits")
+    return lists.select("key", fits, F.explode("values").alias("value"))
 
 
 def q_sum_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -573,10 +579,8 @@ def q_windowed_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_shard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = shard_lines(tumbling_window(messages(spark, sf_dir), "24h"), 8)
     start = F.date_format("window.start", "yyyy-MM-dd HH:mm:ss")
-    inside = F.count_if((F.col("shard") >= 0) & (F.col("shard") < F.col("shards")))
-    return sharded.groupBy(start.alias("window_start"), "shards").agg(
-        F.count("*").alias("n"), inside.alias("n_inside")
-    )
+    inside = (F.col("shard") >= 0) & (F.col("shard") < F.col("shards"))
+    return sharded.select(start.alias("window_start"), "shards", "value", inside.alias("inside"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -735,6 +739,47 @@ def q_cogroup_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_group_batches_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sum read batch by batch: no call holds a whole key."""
+
+    def sum_batches(batches):
+        key, total, rows, calls = None, 0, 0, 0
+        for pdf in batches:
+            key, total, rows, calls = pdf["key"].iloc[0], total + int(pdf["value"].sum()), rows + len(pdf), calls + 1
+        yield pd.DataFrame({"key": [key], "total": [total], "in_batches": [calls >= rows // 10_000]})
+
+    rows = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("key"), F.col("l_linenumber").cast("long").alias("value")
+    )
+    return group_batches_fn(rows, ["key"], sum_batches, "key string, total long, in_batches boolean")
+
+
+def q_cogroup_fn_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two keys that hold nearly all rows of both sides, matched by order inside the function."""
+
+    def match_orders(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return left.merge(right.drop(columns="key"), on="order")
+
+    items = _table(spark, sf_dir, "lineitem")
+    left = items.select(
+        F.col("l_linestatus").alias("key"), F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("line")
+    )
+    orders = _table(spark, sf_dir, "orders")
+    right = orders.select(
+        F.col("o_orderstatus").alias("key"), F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("cust")
+    )
+    return cogroup_fn(
+        left,
+        right,
+        ["key"],
+        match_orders,
+        "key string, order long, line int, cust long",
+        per_left_row=True,
+        per_right_row=True,
+        max_rows=5_000,
+    )
+
+
 def q_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = composite(split_fields, filter_flag, key_player_kind, sum_by_key)
     return delivery_lines(spark, sf_dir).transform(steps)
@@ -839,6 +884,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "map_and_predicate_fn": q_map_and_predicate_fn,
         "group_fn": q_group_fn,
         "cogroup_fn": q_cogroup_fn,
+        "group_batches_fn": q_group_batches_fn,
+        "cogroup_fn_both_sides": q_cogroup_fn_both_sides,
         "composite": q_composite,
     }
 
@@ -1003,9 +1050,9 @@ def _own_sql() -> dict[str, str]:
                    count(*) AS n
             FROM (SELECT {minute_end} AS e FROM events) GROUP BY e""",
         "shard_lines": """
-            SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(8 AS INTEGER) AS shards,
-                   count(*) AS n, count(*) AS n_inside
-            FROM (SELECT time_bucket(INTERVAL 24 HOUR, ts) AS w FROM events) GROUP BY w""",
+            SELECT strftime(time_bucket(INTERVAL 24 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+                   CAST(8 AS INTEGER) AS shards, props AS value, true AS inside
+            FROM events""",
         "write_one_file_per_window": """
             SELECT strftime(w, '%Y-%m-%d/-%H%M-') || strftime(w + INTERVAL 1 HOUR, '%H%M') ||
                    '-0-of-1' AS path, count(*) AS n
@@ -1074,15 +1121,9 @@ def _own_sql() -> dict[str, str]:
                               string_agg(o_orderstatus, '|' ORDER BY o_orderstatus) AS statuses
                        FROM orders GROUP BY 1) r ON l.id = r.id""",
         "cogroup_hot_keys": """
-            SELECT coalesce(l.key, r.key) AS key,
-                   CAST(coalesce(l.n, 0) AS BIGINT) AS n_left,
-                   CAST(coalesce(r.n, 0) AS BIGINT) AS n_right,
-                   CAST(coalesce(l.s, 0) AS BIGINT) AS line_sum,
-                   CAST(coalesce(r.s, 0) AS BIGINT) AS cust_sum
-            FROM (SELECT l_linestatus AS key, count(*) AS n, sum(l_linenumber) AS s
-                  FROM lineitem GROUP BY 1) l
-            FULL JOIN (SELECT o_orderstatus AS key, count(*) AS n, sum(o_custkey) AS s
-                       FROM orders GROUP BY 1) r ON l.key = r.key""",
+            SELECT l_linestatus AS key, 'left' AS side, l_orderkey || '-' || l_linenumber AS value, true AS fits
+            FROM lineitem
+            UNION ALL SELECT o_orderstatus, 'right', CAST(o_orderkey AS VARCHAR), true FROM orders""",
         "lookup_join_strict": """
             SELECT l_orderkey AS id, l_linenumber, l_partkey, o_custkey, o_orderpriority
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
@@ -1097,9 +1138,8 @@ def _own_sql() -> dict[str, str]:
             FROM (SELECT l_orderkey, l_linenumber || '-' || l_partkey AS v FROM lineitem)
             GROUP BY l_orderkey""",
         "group_by_hot_key": """
-            SELECT l_returnflag AS key, count(*) AS n_values,
-                   CAST(sum(l_linenumber) AS BIGINT) AS total
-            FROM lineitem GROUP BY l_returnflag""",
+            SELECT l_returnflag AS key, l_orderkey || '-' || l_linenumber AS value, true AS fits
+            FROM lineitem""",
         "sum_by_key": f"""
             SELECT id || ',' || batsman AS key, total_runs AS total,
                    id || ',' || batsman || ',' || total_runs AS line
@@ -1129,6 +1169,12 @@ def _own_sql() -> dict[str, str]:
         "cogroup_fn": """
             SELECT l_orderkey AS key, l_linenumber AS line, o_orderstatus AS status
             FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
+        "group_batches_fn": """
+            SELECT l_returnflag AS key, CAST(sum(l_linenumber) AS BIGINT) AS total, true AS in_batches
+            FROM lineitem GROUP BY l_returnflag""",
+        "cogroup_fn_both_sides": """
+            SELECT l_linestatus AS key, l_orderkey AS "order", l_linenumber AS line, o_custkey AS cust
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = o_orderstatus""",
         "composite": f"""
             SELECT batsman || ',' || dismissal_kind AS key, count(*) AS total
             FROM ({_DELIVERY}) WHERE is_wicket = 1 GROUP BY 1""",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 from conftest import plan, values
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from windrow.functions import (
     cogroup_fn,
     composite,
     flat_map_fn,
+    group_batches_fn,
     group_fn,
     map_fn,
     predicate_fn,
@@ -93,7 +95,9 @@ def test_cogroup(spark):
         (2, 0, ["z"], []),
         (3, 0, [], [30, 31]),
     ]
-    assert "Join" not in plan(cogroup(left, right, "k"))
+    # The rows move once, to their key; the one join is with the broadcast list of heavy keys.
+    steps = plan(cogroup(left, right, "k"))
+    assert "SortMergeJoin" not in steps and steps.count("BroadcastHashJoin") == 1 and "Python" not in steps
 
 
 def test_cogroup_slices_hot_keys(spark):
@@ -250,3 +254,63 @@ def test_groups_of_any_size_run_unless_a_limit_is_given(spark):
     rows = spark.range(300).selectExpr("'k' as key", "id as value")
     total = lambda pdf: pdf.groupby("key", as_index=False)["value"].sum()
     assert values(group_fn(rows, ["key"], total, "key string, value long")) == [("k", 44850)]
+
+
+def test_values_come_back_as_they_were_light_or_heavy(spark):
+    """-0.0, maps and variants, in lists of one and of many chunks, by the same plan."""
+    rows = spark.range(60).selectExpr(
+        "'k' as key",
+        "named_struct('d', 0.0D * (2 * (id % 2) - 1), 'm', map('n', id), 'v', parse_json(cast(id as string))) as value",
+    )
+    plans = set()
+    for limit in (7, 1_000):
+        lists = group_by_key(rows, max_values=limit)
+        back = lists.select(F.explode("values").alias("v"), F.size("values").alias("n"))
+        got = back.selectExpr("cast(v.d as string) as d", "v.m['n'] as m", "cast(v.v as int) as v", "n").collect()
+        assert sorted((r["d"], r["m"], r["v"]) for r in got) == sorted(("0.0" if i % 2 else "-0.0", i, i) for i in range(60))
+        assert max(r["n"] for r in got) <= limit
+        plans.add(tuple(line.split("(")[0].strip() for line in lists._jdf.queryExecution().optimizedPlan().toString().split("\n")))
+    assert len({len(p) for p in plans}) == 1
+    assert group_by_key(rows, max_values=1_000).select("chunk").collect() == [(0,)]
+
+
+def test_grouping_runs_nothing_until_it_is_read(spark):
+    failing = spark.range(10).select(F.lit("k").alias("key"), F.expr("raise_error('read')").cast("int").alias("value"))
+    lists = group_by_key(failing, max_values=2)
+    both = cogroup(failing, failing, "key", max_values=2)
+    assert lists.columns == ["key", "chunk", "values"] and both.columns == ["key", "chunk", "left", "right"]
+    with pytest.raises(Exception, match="read"):
+        lists.collect()
+    assert group_by_key(spark.range(0).selectExpr("'k' as key", "id as value")).collect() == []
+
+
+def test_group_batches_fn_reads_a_group_in_batches(spark):
+    def sizes(batches):
+        key, seen = None, []
+        for pdf in batches:
+            key = int(pdf["key"].iloc[0])
+            seen.append(len(pdf))
+        yield pd.DataFrame({"key": [key], "n": [sum(seen)], "longest": [max(seen)]})
+
+    rows = spark.range(5_000).select((F.col("id") % 10 == 0).cast("long").alias("key"), F.col("id").alias("value"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = values(group_batches_fn(rows, ["key"], sizes, "key long, n long, longest long"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(0, 4_500, 100), (1, 500, 100)]
+
+
+def test_cogroup_fn_cuts_both_sides(spark):
+    def match(left, right):
+        assert len(left) <= 400 and len(right) <= 400
+        return left.merge(right.drop(columns="k"), on="x")
+
+    left = spark.range(1_000).selectExpr("if(id < 900, 1, id) as k", "id % 50 as x", "id as a")
+    right = spark.range(800).selectExpr("if(id < 750, 1, id + 200) as k", "id % 50 as x", "id as b")
+    schema = "k long, x long, a long, b long"
+    both = cogroup_fn(left, right, ["k"], match, schema, per_left_row=True, per_right_row=True, max_rows=100)
+    expected = left.join(right, ["k", "x"]).select("k", "x", "a", "b")
+    assert values(both) == values(expected) and both.count() > 10_000
+    with pytest.raises(ValueError, match="per_left_row"):
+        cogroup_fn(left, right, ["k"], match, schema, per_right_row=True)

@@ -9,6 +9,7 @@ from windrow.functions.user import (
     cogroup_fn,
     composite,
     flat_map_fn,
+    group_batches_fn,
     group_fn,
     map_fn,
     predicate_fn,
@@ -20,6 +21,7 @@ __all__ = [
     "equals_ignore_case",
     "field",
     "flat_map_fn",
+    "group_batches_fn",
     "group_fn",
     "map_fn",
     "pad_number",

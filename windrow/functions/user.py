@@ -3,6 +3,7 @@
 Functions see pandas data in Arrow batches. ``group_fn`` and ``cogroup_fn`` hold
 a whole group in one task. Groups are sliced where the arguments say that the
 function allows it, and refused only where ``max_rows`` asks for that.
+``group_batches_fn`` reads a group of any size in batches.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from windrow.operators.skew import (
     COPY,
     MAX_GROUP_ROWS,
     SLICES,
+    heaviest_keys,
     heavy_keys,
     number_copies,
     slice_of,
@@ -98,6 +100,28 @@ def group_fn(
     return parts.groupBy(*keys).applyInPandas(combine, schema)
 
 
+def group_batches_fn(
+    df: DataFrame,
+    keys: Sequence[str],
+    fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: StructType | str,
+) -> DataFrame:
+    """A function over the batches of each key, as an iterator; its output must carry the keys.
+
+    A group reaches the function a batch at a time, of at most Spark's
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows, so a group may be larger than a worker's
+    memory. Its batches are read by one task, one after the other; where parts of a group can be
+    worked on apart, ``group_fn`` with ``combine`` spreads them.
+    """
+
+    def run(batches):
+        return fn(batches)
+
+    # Spark tells the forms of a function apart by its type hints.
+    run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    return spread(df, *keys).groupBy(*keys).applyInPandas(run, schema)
+
+
 def cogroup_fn(
     left: DataFrame,
     right: DataFrame,
@@ -106,6 +130,7 @@ def cogroup_fn(
     schema: StructType | str,
     per_left_row: bool = False,
     max_rows: int | None = None,
+    per_right_row: bool = False,
 ) -> DataFrame:
     """A function over the left rows and the right rows of each key.
 
@@ -114,7 +139,17 @@ def cogroup_fn(
     ``MAX_GROUP_ROWS``) rows run in slices, each with a copy of the key's right
     rows. Otherwise groups are taken whole. A given ``max_rows`` refuses larger
     right groups, and larger left ones that may not be sliced.
+
+    ``per_right_row``, which needs ``per_left_row``, says the same of right rows: the
+    output is the union of those for a part of the left and a part of the right rows.
+    Then both sides are cut, and each pair of slices is one call; neither side of a
+    key is ever whole in one task. A part may be empty though its key is not, so the
+    function may make nothing of an empty side.
     """
+    if per_right_row:
+        if not per_left_row:
+            raise ValueError("per_right_row needs per_left_row")
+        return _cogroup_slices(left, right, keys, fn, schema, max_rows or MAX_GROUP_ROWS)
     if max_rows is not None and heavy_keys(right, keys, max_rows) is not None:
         raise ValueError(f"a right key has more than {max_rows} rows")
     if max_rows is None and not per_left_row:
@@ -134,6 +169,36 @@ def cogroup_fn(
     return _cogrouped(sliced, copied, [*keys, "_slice"]).applyInPandas(run, schema)
 
 
+def _cogroup_slices(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: StructType | str,
+    max_rows: int,
+) -> DataFrame:
+    """Cogroup by pairs of slices: each side's slices go to all slices of the other side's key."""
+    heavy = [heaviest_keys(side, keys, max_rows) for side in (left, right)]
+    cells = [*keys, "_left", "_right"]
+
+    def cut(df: DataFrame, own: DataFrame, other: DataFrame, names: tuple[str, str]) -> DataFrame:
+        placed = with_slices(number_copies(df), keys, own)
+        placed = placed.select(
+            *df.columns, slice_of([*df.columns, COPY], F.col(SLICES)).alias(names[0])
+        )
+        every = F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias(names[1])
+        return with_slices(placed, keys, other).select(*df.columns, names[0], every)
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return fn(a.drop(columns=["_left", "_right"]), b.drop(columns=["_left", "_right"]))
+
+    lefts = cut(left, heavy[0], heavy[1], ("_left", "_right"))
+    rights = cut(right, heavy[1], heavy[0], ("_right", "_left"))
+    return _cogrouped(lefts, rights.select(*right.columns, "_left", "_right"), cells).applyInPandas(
+        run, schema
+    )
+
+
 def _cogrouped(left: DataFrame, right: DataFrame, by: Sequence[str]):
     return spread(left, *by).groupBy(*by).cogroup(spread(right, *by).groupBy(*by))
 

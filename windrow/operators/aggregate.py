@@ -10,17 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from windrow.operators.skew import (
-    COPIES,
-    MAX_GROUP_ROWS,
-    PIECE,
-    SLICES,
-    fold_copies,
-    heavy_keys,
-    slice_of,
-    with_slices,
-)
+from windrow.operators.skew import MAX_GROUP_ROWS, SLICES, heaviest_keys, slice_of, with_slices
 from windrow.schemas import SCORE_OUT
 
 
@@ -28,6 +20,15 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Whether Spark hashes values of a type."""
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def collect_groups(
     rows: DataFrame, keys: Sequence[str], values: Sequence[str], max_values: int
 ) -> DataFrame:
@@ -36,31 +37,28 @@ def collect_groups(
     A key with up to ``max_values`` rows gives one row with chunk 0. A heavier
     key gives several, together holding every value once, with at most
     ``max_values`` in each list.
+
+    Nothing runs before the result does. One plan holds for all sizes: rows of the
+    heaviest keys go to slices by a hash of the row and of the partition it lies in,
+    all others to one slice per key, and a slice's list is cut to the limit. Rows of
+    a key that are equal and lie in one partition stay in one slice. Values are never
+    grouped by, so they come back as they were, whatever their type.
     """
-    heavy = heavy_keys(rows, keys, max_values)
-    if heavy is None:
-        lists = [F.collect_list(v).alias(v) for v in values]
-        grouped = rows.groupBy(*keys).agg(*lists)
-        return grouped.select(*keys, F.lit(0).alias("chunk"), *values)
-    # Pieces well below the list size, so that a few of them in one list do not double it.
-    small = max(1, max_values // 8)
-    pieces = with_slices(fold_copies(rows, small), keys, heavy)
-    chunked = pieces.withColumn("chunk", slice_of([*values, PIECE], F.col(SLICES)))
-    lists = [
-        F.flatten(
-            F.collect_list(F.when(F.col(v).isNotNull(), F.array_repeat(v, F.col(COPIES))))
-        ).alias(v)
-        for v in values
-    ]
-    grouped = chunked.groupBy(*keys, SLICES, "chunk").agg(*lists)
-    # Hashes fill the chunks unevenly: those too long are cut, so that no list passes the limit.
+    heavy = heaviest_keys(rows, keys, max_values)
+    sliced = with_slices(rows, keys, heavy)
+    hashed = [v for v in values if _hashable(rows.schema[v].dataType)]
+    place = slice_of([*hashed, F.spark_partition_id()], F.col(SLICES))
+    sliced = sliced.withColumn("chunk", F.when(F.col(SLICES) > 1, place).otherwise(0))
+    grouped = sliced.groupBy(*keys, SLICES, "chunk").agg(*[F.collect_list(v).alias(v) for v in values])
     longest = F.greatest(*[F.size(v) for v in values]) if len(values) > 1 else F.size(values[0])
     part = F.explode(F.sequence(F.lit(0), F.floor(F.greatest(longest - 1, F.lit(0)) / max_values)))
     cut = grouped.withColumn("part", part)
+    first = (F.col("part") * max_values + 1).cast("int")
+    whole = longest <= max_values
     return cut.select(
         *keys,
         (F.col("chunk") + F.col("part") * F.col(SLICES)).cast("int").alias("chunk"),
-        *[F.slice(v, (F.col("part") * max_values + 1).cast("int"), max_values).alias(v) for v in values],
+        *[F.when(whole, F.col(v)).otherwise(F.slice(v, first, max_values)).alias(v) for v in values],
     )
 
 

@@ -23,8 +23,8 @@ def cogroup(
 ) -> DataFrame:
     """For every key of either side: its left rows and its right rows as two lists.
 
-    Both sides go through one aggregation and one shuffle, with no join. The
-    result is ``keys, chunk, left, right``; only a key with more than
+    Both sides go through one aggregation and one shuffle; the only join is with the
+    broadcast list of heavy keys. The result is ``keys, chunk, left, right``; only a key with more than
     ``max_values`` rows has several chunks, which together hold each row once.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)

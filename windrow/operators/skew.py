@@ -49,6 +49,18 @@ def heavy_keys(
     return F.broadcast(df.sparkSession.createDataFrame(rows, heavy.schema))
 
 
+def heaviest_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """The keys with more than ``max_rows`` rows and the slices each needs, found when the plan runs.
+
+    Only the ``MAX_BROADCAST_KEYS`` heaviest of them are listed, so the list may be sent to every
+    executor; any other key has fewer than one in ``MAX_BROADCAST_KEYS`` of all rows.
+    """
+    counted = df.groupBy(*keys).count().where(F.col("count") > max_rows)
+    heaviest = counted.orderBy(F.desc("count"), *keys).limit(MAX_BROADCAST_KEYS)
+    slices = F.ceil(F.col("count") / max_rows).cast("int").alias(SLICES)
+    return F.broadcast(heaviest.select(*keys, slices))
+
+
 def with_slices(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
     """Add the number of slices of each row's key, 1 for all but the heavy ones."""
     renamed = heavy.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys], SLICES)
@@ -88,6 +100,6 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(partitions, *columns)
 
 
-def slice_of(columns: Sequence[str], slices: Column) -> Column:
+def slice_of(columns: Sequence[str | Column], slices: Column) -> Column:
     """The slice of a row, from a hash of the given columns."""
     return F.pmod(F.xxhash64(*columns), slices).cast("int")
