@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -78,11 +78,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     replace_all(spark, [(part, path)])
 
 
-def delete_all(spark: SparkSession, paths: Iterable[str]) -> None:
-    paths = list(paths)
-    if paths:
+def in_parallel(step: Callable, items: Iterable) -> None:
+    """Call a driver-side step of file metadata for each item; the first error is raised."""
+    items = list(items)
+    if items:
         with ThreadPoolExecutor(RENAME_THREADS) as pool:
-            list(pool.map(lambda path: delete(spark, path), paths))
+            list(pool.map(step, items))
 
 
 def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]], moved_before: bool = False) -> None:
@@ -127,6 +128,5 @@ def replace_all(spark: SparkSession, moves: Iterable[tuple[str, str]], moved_bef
         if not near:
             source_fs.delete(far, False)
 
-    with ThreadPoolExecutor(RENAME_THREADS) as pool:
-        list(pool.map(lambda parent: fs.mkdirs(to_path(parent)), parents))
-        list(pool.map(move, moves))
+    in_parallel(lambda parent: fs.mkdirs(to_path(parent)), parents)
+    in_parallel(move, moves)

@@ -33,13 +33,18 @@ def finish(spark: SparkSession, staging: str) -> None:
     """Carry out the journal of a staging folder, whatever part of it has been done before."""
     journal = json.loads(hadoop.read_text(spark, hadoop.join(staging, JOURNAL)))
     hadoop.replace_all(spark, [(a, b) for a, b in journal["moves"]], moved_before=True)
-    for path, windows in journal["windows"].items():
+
+    def remember(entry: tuple[str, dict[str, list[str]]]) -> None:
+        path, windows = entry
         known = json.loads(hadoop.read_text(spark, path)) if hadoop.exists(spark, path) else {}
         stale = {file for window in windows for file in known.get(window, [])}
         known.update(windows)
         stale -= {file for files in known.values() for file in files}
-        hadoop.delete_all(spark, stale)
+        for file in stale:
+            hadoop.delete(spark, file)
         hadoop.write_text(spark, path, json.dumps(known))
+
+    hadoop.in_parallel(remember, journal["windows"].items())
     hadoop.delete(spark, staging)
 
 
