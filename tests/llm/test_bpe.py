@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import public_tokenizers as tokenizers
 import pytest
 import tiktoken
@@ -35,7 +36,7 @@ def test_pieces_encode_as_the_library_does(encoder, library):
     chance, pieces = random.Random(3), bpe.splitter(tokenizers.PATTERN)
     for n in [0, 1, 2, 5, 30, 200] * 50:
         text = "".join(chance.choice(ALPHABET) for _ in range(n))
-        got = [i for p in pieces(text) for i in encoder.encode(p.encode())]
+        got = [i for block in pieces(text) for p in block for i in encoder.encode(p.encode())]
         assert got == library.encode_ordinary(text)
     assert encoder.encode(b"ab" * 20_000) == library.encode_ordinary("ab" * 20_000)
 
@@ -82,3 +83,38 @@ def test_query(spark, tmp_path, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_blocks_long_texts_and_a_small_memo_give_the_same(encoder, library, monkeypatch):
+    chance = random.Random(5)
+    words = ["the ", "tokenizer", " é日", "😀", " 12", "\n\n ", "_x", "'s", "²", " antidisestablishmentarianism"]
+    texts = ["".join(chance.choice(words) for _ in range(chance.randint(0, 300))) for _ in range(60)] + [None, "", "a"]
+    monkeypatch.setattr(bpe, "BLOCK_PIECES", 70)
+    monkeypatch.setattr(bpe, "LONG_TEXT", 500)
+    pieces = bpe.splitter(tokenizers.PATTERN)
+    for limit in (1, 20, 100_000):
+        memo = bpe.Memo(encoder, limit)
+        for text in texts:
+            assert bpe.encode_text(text, pieces, memo).tolist() == library.encode_ordinary(text or "")
+        assert len(memo) <= limit and len(memo.older) <= limit
+
+
+def test_bytes_of_tokens(encoder):
+    ranks = bpe.read_ranks(RANKS_PATH)
+    table = bpe.TokenBytes(ranks)
+    ids = list(range(0, max(ranks.values()), 7)) * 12
+    assert len(ids) > table.BLOCK and table.decode(np.array(ids)) == b"".join(encoder.token_bytes[i] for i in ids)
+    for wrong in (-1, max(ranks.values()) + 1):
+        with pytest.raises(KeyError):
+            table.decode(np.array([1, wrong]))
+
+
+def test_one_pass_for_both(spark, library):
+    rows = [(1, "a b  c", "x"), (1, "a b  c", "x"), (2, None, None), (3, "", "y"), (None, "é" * 90_000, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, decoded string")
+    both = bpe.round_trip(docs, RANKS_PATH, tokenizers.PATTERN)
+    assert both.columns == ["doc_id", "text", "decoded", "ids"]
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    apart = bpe.decode(bpe.encode(docs, RANKS_PATH, tokenizers.PATTERN), RANKS_PATH).select(both.columns)
+    assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+    assert bpe.round_trip(docs.where("doc_id = 9"), RANKS_PATH, tokenizers.PATTERN).collect() == []

@@ -12,7 +12,7 @@ import base64
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -22,9 +22,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces kept per Python worker; a full memo is emptied, so memory stays bounded.
-MEMO_PIECES = 200_000
-MEMO_PAIRS = 400_000
+# Pieces kept in each of two generations, of which the older goes with its task, and pairs of tokens.
+MEMO_PIECES = 150_000
+MEMO_PAIRS = 250_000
+# Longer pieces are not kept, so that the memo is bounded in bytes too.
+KEPT_CHARS = 64
+# Pieces of a long text that are held at once.
+BLOCK_PIECES = 400_000
+# A text of more characters is split block by block.
+LONG_TEXT = 2_000_000
 NEVER = 1 << 60
 
 # The usual split pattern written for ``re``, which is faster than ``regex``. Both cut alike where a
@@ -96,9 +102,9 @@ class PrefixBpe:
                 for a, a_until in self.growth(left)[0]
                 for b, b_until in grown[1]
             )
-            if len(self.apart) >= MEMO_PAIRS:
-                self.apart.clear()
-            self.apart[left << 20 | right] = known
+            # The pairs met first are the frequent ones.
+            if len(self.apart) < MEMO_PAIRS:
+                self.apart[left << 20 | right] = known
         return known
 
     def extend(self, piece: bytes, table: list[int], upto: int | None = None) -> list[int]:
@@ -113,7 +119,7 @@ class PrefixBpe:
                 known = apart.get(left << 20 | token)
                 if not (known or known is None and self.stays_apart(left, token)):
                     continue
-            elif token not in self.grown and self.growth(token) is None:
+            elif self.growth(token) is None:
                 continue
             table.append(token)
             done += 1
@@ -136,11 +142,20 @@ class PrefixBpe:
 
 
 def splitter(pattern: str):
-    """A function from text to pieces. A character the pattern leaves out is left out here too."""
+    """A function from a text to lists of its pieces, several for a long text. A character the pattern
+    leaves out is left out here too."""
     exact = regex.compile(pattern)
-    if pattern != FAST_FOR:
-        return lambda text: [m.group() for m in exact.finditer(text)]
-    return lambda text: (exact if UNCOMMON.search(text) else FAST_PATTERN).findall(text)
+
+    def pieces(text: str) -> Iterator[list[str]]:
+        fast = pattern == FAST_FOR and not UNCOMMON.search(text)
+        if len(text) <= LONG_TEXT:
+            yield FAST_PATTERN.findall(text) if fast else [m.group() for m in exact.finditer(text)]
+            return
+        found = (FAST_PATTERN if fast else exact).finditer(text)
+        while block := [m.group() for m in islice(found, BLOCK_PIECES)]:
+            yield block
+
+    return pieces
 
 
 class Memo(dict):
@@ -153,7 +168,7 @@ class Memo(dict):
         ids = self.older.get(piece)
         if ids is None:
             ids = tuple(self.bpe.encode(piece.encode("utf-8", "surrogatepass")))
-        if len(piece) < 64:
+        if len(piece) < KEPT_CHARS:
             if len(self) >= self.limit:
                 self.older = dict(self)
                 self.clear()
@@ -161,6 +176,39 @@ class Memo(dict):
         return ids
 
 
+def encode_text(text: str | None, pieces, memo: Memo) -> np.ndarray:
+    """The ids of a whole text, gathered block by block."""
+    blocks = [np.fromiter(chain.from_iterable(map(memo.__getitem__, b)), np.int32) for b in pieces(text or "")]
+    return blocks[0] if len(blocks) == 1 else np.concatenate([np.empty(0, np.int32), *blocks])
+
+
+class TokenBytes:
+    """The bytes of all tokens in one table."""
+
+    #: Ids that are decoded at once.
+    BLOCK = 1 << 16
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the tokens; an id that no token has is an error."""
+        parts = []
+        for at in range(0, len(ids), self.BLOCK):
+            some = ids[at : at + self.BLOCK]
+            if some.min() < 0 or some.max() >= len(self.sizes) or not self.sizes[some].all():
+                raise KeyError("an id outside the vocabulary")
+            sizes = self.sizes[some]
+            shift = self.starts[some] - (np.cumsum(sizes) - sizes)
+            parts.append(self.bytes[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))].tobytes())
+        return b"".join(parts)
+
+
 class EditableEncoding:
     """A text with its encoding, kept exact through appends and edits.
 
@@ -219,14 +267,11 @@ class EditableEncoding:
         return anew
 
 
-@lru_cache(maxsize=2)
-def _memo(ranks_file: str) -> Memo:
-    return Memo(PrefixBpe(read_ranks(SparkFiles.get(ranks_file))))
-
-
-@lru_cache(maxsize=2)
-def _token_bytes(ranks_file: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in read_ranks(SparkFiles.get(ranks_file)).items()}
+@lru_cache(maxsize=1)
+def _tables(ranks_file: str) -> tuple[Memo, TokenBytes]:
+    """What a Python worker keeps from task to task: the vocabulary and a bounded memo."""
+    ranks = read_ranks(SparkFiles.get(ranks_file))
+    return Memo(PrefixBpe(ranks)), TokenBytes(ranks)
 
 
 def _share(df: DataFrame, ranks_path: str) -> str:
@@ -235,28 +280,51 @@ def _share(df: DataFrame, ranks_path: str) -> str:
     return ranks_path.rsplit("/", 1)[-1]
 
 
+def _encoder(ranks_file: str, pattern: str, returns: str, both: bool):
+    @F.arrow_udf(returns)
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memo, token_bytes = _tables(ranks_file)
+        pieces = splitter(pattern)
+        try:
+            for texts in batches:
+                rows = [encode_text(text.as_py(), pieces, memo) for text in texts]
+                ends = np.cumsum([0, *map(len, rows)])
+                flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                if not both:
+                    yield ids
+                    continue
+                decoded = [token_bytes.decode(row) for row in rows]
+                yield pa.StructArray.from_arrays([ids, pa.array(decoded, pa.binary())], ["ids", "decoded"])
+        finally:
+            # The worker may live on with other work.
+            memo.older = {}
+
+    return coded
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with ``ids_col array<int>``, the token ids of the whole ``text_col``, no special tokens.
 
     Null and empty texts have no tokens (an empty array). A column of the name ``ids_col`` is
-    replaced, all others and repeated rows stay. Ties between merges go to the leftmost. Memory per
-    task is one batch of texts and the bounded memo; a text is never cut short.
+    replaced, all others and repeated rows stay; an empty table gives no rows. Ties between merges go
+    to the leftmost. A task holds one batch of texts, one block of pieces and the bounded memo; a text
+    of any length is encoded whole.
     """
-    ranks_file = _share(df, ranks_path)
+    coded = _encoder(_share(df, ranks_path), pattern, "array<int>", both=False)
+    return df.withColumn(ids_col, coded(F.col(text_col)))
 
-    @F.arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, memo = splitter(pattern), _memo(ranks_file)
-        for texts in batches:
-            values, ends = [], [0]
-            for text in texts:
-                got = list(chain.from_iterable(map(memo.__getitem__, pieces(text.as_py() or ""))))
-                values.append(np.array(got, dtype=np.int32))
-                ends.append(ends[-1] + len(got))
-            flat = np.concatenate(values) if values else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
-    return df.withColumn(ids_col, ids(F.col(text_col)))
+def round_trip(
+    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the texts: ``df`` with ``ids_col`` and ``bytes_col``.
+
+    The bytes are looked up from the ids, as ``decode`` does. Columns of the two names are replaced.
+    """
+    coded = _encoder(_share(df, ranks_path), pattern, "struct<ids: array<int>, decoded: binary>", both=True)
+    both = df.withColumn(ids_col, coded(F.col(text_col)))
+    return both.withColumns({ids_col: F.col(ids_col)["ids"], bytes_col: F.col(ids_col)["decoded"]})
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -269,8 +337,10 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = _token_bytes(ranks_file)
+        _, token_bytes = _tables(ranks_file)
+        none = np.empty(0, np.int32)
         for ids in batches:
-            yield pa.array([b"".join(map(known.__getitem__, row.as_py() or ())) for row in ids], pa.binary())
+            rows = (row.values.to_numpy(zero_copy_only=False) if row.is_valid else none for row in ids)
+            yield pa.array([token_bytes.decode(row) for row in rows], pa.binary())
 
     return df.withColumn(bytes_col, decoded(F.col(ids_col)))

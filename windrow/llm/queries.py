@@ -33,7 +33,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
