@@ -15,15 +15,18 @@ from windrow.llm.queries import QUERY_KEY, TOXIC_FROM
 
 def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not in ``verdict`` (``doc_id``); rows without an id stay."""
-    gone = written(verdict.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = written(verdict.select("doc_id").distinct(), "gone")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a toxicity score of TOXIC_FROM or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.trained(docs, labels)
-    return toxicity.score(docs, model, score_col="_score").where(F.col("_score") < TOXIC_FROM).drop("_score")
+    score = "score"
+    while score in {c.lower() for c in docs.columns}:
+        score = f"_{score}"
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < TOXIC_FROM).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +48,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, ids, n_tokens, round_trip``: token ids, and whether they decode to the text."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
@@ -63,7 +66,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again for the next."""
+    """All stages over ``documents``; each result is written and read again for the next.
+
+    Null and empty texts are never toxic, near duplicates or contaminated and have no tokens. Of rows
+    that share an id all go or stay together; of equal texts the one with the least id stays. Texts of
+    any length are read whole. Other columns are carried to the last stage, whatever their names. An
+    empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
