@@ -34,3 +34,27 @@ def test_stages_against_what_was_planted(spark, tmp_path):
     last = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in last} == ids[3] and all(r["round_trip"] for r in last)
     assert {r["doc_id"]: r["n_tokens"] for r in last}[5000] == 0
+
+
+def test_clashing_names_a_long_text_and_an_empty_table(spark, tmp_path):
+    chance = random.Random(15)
+    words = lambda n: " ".join("".join(chance.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    schema = "doc_id long, text string, lang string, source string, n_chars int, _gone int, score string, _score int, decoded string"
+    rows = [(i, words(60), "en", "s", 1, i, "x", 2, "y") for i in range(40)]
+    rows += [(100, words(60_000), "en", "s", 1, 5, "x", 2, "y"), (None, None, None, None, None, None, None, None, None)]
+    labels = [(i, 1, i % 2) for i in range(40)]
+    for name, some in (("full", rows), ("empty", [])):
+        sf_dir = f"{tmp_path}/{name}"
+        spark.createDataFrame(some, schema).write.parquet(f"{sf_dir}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+        spark.createDataFrame([(1, words(30))], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, sf_dir)
+            assert docs.columns == schema.replace(",", "").split(" ")[::2]
+        got = {r["doc_id"]: r for r in corpus_pipeline.encode_texts(spark, docs, sf_dir).collect()}
+        if some:
+            assert {100, None} <= set(got) and got[100]["n_tokens"] > 60_000 and got[None]["n_tokens"] == 0
+            assert all(r["round_trip"] for r in got.values())
+        else:
+            assert got == {}
