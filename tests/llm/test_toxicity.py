@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from windrow.llm import queries, toxicity
 from windrow.llm.sampling import excerpt, sample_by_label
@@ -76,3 +78,35 @@ def test_scores_keep_the_share_of_labels_at_every_size(spark, rows):
     whole = toxicity.score(docs, toxicity.trained(docs, labels)).agg({"score": "avg"}).first()[0]
     assert abs(whole - 0.1) < 0.05 and abs(cut - 0.1) < 0.05
     assert toxicity.score(docs, toxicity.fit(sample)).agg({"score": "avg"}).first()[0] > 0.25
+
+
+def test_order_of_words_counts():
+    # Toxic texts differ from ordinary ones by nothing but one order of six words.
+    chance = random.Random(4)
+    six = "mirka lotensa rukalo samir tenmirlo karusa".split()
+
+    def text(toxic):
+        parts = []
+        for _ in range(12):
+            part = six[:]
+            while part == six:
+                chance.shuffle(part)
+            parts.append(six if toxic and chance.random() < 0.6 else part)
+        return " ".join(w for p in parts for w in p)
+
+    model = toxicity.fit([(text(i % 2), i % 2) for i in range(600)])
+    read = model.reader()
+    right = sum((model.scores(np.array([read(text(i % 2))]))[0] >= 0.5) == bool(i % 2) for i in range(200))
+    assert right >= 160, right
+
+
+def test_long_texts_ties_and_repeated_ids(spark, rows):
+    model = toxicity.fit([(t, y) for _, t, y in rows])
+    long = " ".join(t for _, t, y in rows if not y) * 20
+    docs = spark.createDataFrame([(1, long), (2, long + " grumbolt" * 4000), (3, long), (3, rows[0][1]), (3, rows[0][1])], "doc_id long, text string")
+    got = sorted(map(tuple, toxicity.score(docs, model).select("doc_id", F.char_length("text"), "score").collect()))
+    assert got[0][2] < got[1][2] and got[0][2] == got[4][2] and got[2] == got[3]
+    labels = spark.createDataFrame([(3, 1), (2, 0), (1, 0)], "doc_id long, toxic int")
+    sample = toxicity.training_rows(docs.union(docs), labels, per_label=50)
+    assert len(sample) == len({i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 3 != 1})
+    assert sample == toxicity.training_rows(docs.repartition(5), labels, per_label=50)

@@ -19,9 +19,11 @@ def excerpt(text: Column, chars: int) -> Column:
 
 def sample_by_label(rows: DataFrame, label: str, per_label: int, total: int) -> DataFrame:
     """About ``per_label`` rows of each value of ``label``, ``total`` at most, chosen by a hash of
-    ``doc_id``; the same rows in every run. ``rows`` has ``doc_id``; null labels are left out."""
+    ``doc_id``; the same rows in every run. ``rows`` has ``doc_id``; null labels are left out. Labels
+    are the classes of a model, a few: their counts, one row each, are broadcast, so no label's rows
+    meet in one task."""
     rows = rows.where(F.col(label).isNotNull())
     sizes = rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_size"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    near = rows.join(sizes, F.col(label) == F.col("_label")).where(place * F.col("_size") < per_label)
+    near = rows.join(F.broadcast(sizes), F.col(label) == F.col("_label")).where(place * F.col("_size") < per_label)
     return near.drop("_label", "_size").orderBy(F.xxhash64("doc_id"), label).limit(total)

@@ -1,22 +1,28 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share a base trained on ordinary text. One goes on with word beginnings
-that are over-represented in toxic text, the other with beginnings typical of ordinary text. A
-window, one word in a fixed frame, is compressed with either; the bytes that the toxic dictionary
-saves are its distance. A logistic calibration turns the distances of all windows of a text into a
-score. Words are what recurs in a text, so the distance of each is kept in a bounded memo.
-
-Null texts and texts without words have the score 0. Rows, repeated or
-not, get one result each. Without labels of both kinds every other score is the share of toxic labels
-(0 without any). Other columns are ignored.
+Two pairs of zstandard dictionaries, one of each pair for toxic and one for ordinary text, compress
+all windows of a text; the bytes that the toxic one saves are a window's distance. A logistic
+calibration turns the distances of all windows of both kinds into a score.
+
+The first pair is trained on toxic and on ordinary text as it is and compresses windows of WINDOW
+words. Single words among many are lost in its noise, so there is a second pair for windows of one
+word in a fixed frame. It shares a base trained on ordinary text; one goes on with word beginnings
+over-represented in toxic texts by a z test, the other with as many typical of ordinary text. Words
+recur, so the distance of each is kept in a bounded memo.
+
+Null texts and texts without words have the score 0; texts of any length are read whole. Rows,
+repeated or equal or not, get one result each, and equal texts equal scores. Without labels of both
+kinds every other score is the share of toxic labels (0 without any). An empty table gives no rows.
+Other columns are kept and never read.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +35,16 @@ from windrow.llm.sampling import excerpt, id_remainder, sample_by_label
 WORD = re.compile(r"[^\W\d_]+")
 FRAME = "<<0123456789>>"
 LEVEL = 3
+WINDOW = 12
+TEXT_BYTES = 64_000
 BASE_BYTES = 16_000
 LEAST_DOCS = 4
 LEAST_Z = 6.5
 PER_LABEL = 3_000
-EXCERPT_CHARS = 20_000
+EXCERPT_CHARS = 10_000
 STEPS = (1, 2, 3, 4, 5)
 MEMO_WORDS = 200_000
+TEXT_FEATURES = 5
 
 
 def words(text: str | None) -> list[str]:
@@ -68,8 +77,35 @@ def _typical(toxic: list[str], ordinary: list[str]) -> tuple[list[str], list[str
     return high, order[::-1][: len(high)]
 
 
-def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict:
-    return zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+def windows(found: list[str]) -> list[bytes]:
+    """The words in windows of WINDOW, the last of what is left."""
+    return [" ".join(found[i : i + WINDOW]).encode("utf-8", "surrogatepass") for i in range(0, len(found), WINDOW)]
+
+
+def _coder(content: bytes, kind: int) -> zstandard.ZstdCompressor:
+    known = zstandard.ZstdCompressionDict(content, dict_type=kind)
+    known.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_dict_id=False)
+
+
+class TextDistance:
+    """Bytes that the toxic dictionary saves on each window of a text, by dictionaries in full form,
+    or without both of them none."""
+
+    def __init__(self, toxic: bytes, ordinary: bytes):
+        self.coders = [_coder(x, zstandard.DICT_TYPE_FULLDICT) for x in (ordinary, toxic)] if toxic and ordinary else []
+
+    def __call__(self, found: list[str]) -> list[float]:
+        if not self.coders or not found:
+            return [0.0] * TEXT_FEATURES
+        cut = windows(found)
+        saved = np.array([len(self.coders[0].compress(x)) - len(self.coders[1].compress(x)) for x in cut], float)
+        sizes = np.array([len(x) + 1 for x in cut])
+        top = np.sort(saved)[-3:]
+        return [
+            float((saved / sizes).max()), float(saved.sum() / sizes.sum()), float(saved.sum() / len(cut) ** 0.5),
+            float(top.mean()), float((saved > 0).mean()),
+        ]
 
 
 class Distance(dict):
@@ -77,13 +113,7 @@ class Distance(dict):
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.older: dict[str, int] = {}
-        self.coders = []
-        for content in (ordinary, toxic):
-            known = _dictionary(content)
-            known.precompute_compress(level=LEVEL)
-            self.coders.append(
-                zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_dict_id=False)
-            )
+        self.coders = [_coder(x, zstandard.DICT_TYPE_RAWCONTENT) for x in (ordinary, toxic)]
 
     def __missing__(self, word: str) -> int:
         saved = self.older.get(word)
@@ -97,7 +127,7 @@ class Distance(dict):
         return saved
 
 
-def features(distance: Distance, text: str | None) -> list[float]:
+def features(distance: Distance, text_distance: TextDistance, text: str | None) -> list[float]:
     found = words(text)
     d = np.fromiter(map(distance.__getitem__, found), np.int32, len(found)) if found else np.zeros(1, np.int32)
     top = np.sort(d[np.argpartition(d, -3)[-3:]] if len(d) > 3 else d)[::-1]
@@ -106,34 +136,50 @@ def features(distance: Distance, text: str | None) -> list[float]:
         float(top[0]), float(top.mean()), float(d.mean()), float(np.log(len(d))),
         *[float(np.log1p(c)) for c in counts],
         *[float(np.log1p(100 * c / len(d))) for c in counts],
+        *text_distance(found),
     ]
 
 
 @dataclass
 class ToxicityModel:
+    #: Dictionaries for single words, and for windows of text.
     toxic: bytes
     ordinary: bytes
+    toxic_text: bytes
+    ordinary_text: bytes
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
     bias: float
 
+    def reader(self) -> Callable[[str | None], list[float]]:
+        """The features of a text by these dictionaries."""
+        return partial(features, Distance(self.toxic, self.ordinary), TextDistance(self.toxic_text, self.ordinary_text))
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         z = np.clip(((x - self.mean) / self.spread) @ self.weights + self.bias, -30, 30)
         return 1 / (1 + np.exp(-z))
 
 
+def _trained(texts: list[str]) -> bytes:
+    """A dictionary of the texts' windows; empty if they are too few to train on."""
+    try:
+        return zstandard.train_dictionary(TEXT_BYTES, [x for t in texts for x in windows(words(t))], k=200, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
 def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     samples = [(" " + " ".join(w[i : i + 6])).encode() for t in ordinary for w in [words(t)] for i in range(0, len(w), 6)]
     try:
-        base = zstandard.train_dictionary(BASE_BYTES, samples[:60_000], k=64, d=6).as_bytes()
+        base = zstandard.train_dictionary(BASE_BYTES, samples, k=64, d=6).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: they are the dictionary themselves
         base = b"".join(samples)[-BASE_BYTES:]
     high, low = (" ".join(x).encode() for x in _typical(toxic, ordinary))
     return base + high + FRAME.encode(), base + low[: len(high)].ljust(len(high)) + FRAME.encode()
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, l2: float) -> tuple[np.ndarray, float]:
     """``share`` is each row's part of all, 1 in total."""
     weights, bias = np.zeros(x.shape[1]), 0.0
     for _ in range(3_000):
@@ -148,22 +194,22 @@ def fit(rows: Iterable[tuple[str, int]], toxic_share: float | None = None) -> To
     in the table that ``rows`` were sampled from; by default their share among ``rows``."""
     rows = [(t or "", int(y)) for t, y in rows]
     toxic, ordinary = [t for t, y in rows if y], [t for t, y in rows if not y]
-    width = 4 + 2 * len(STEPS)
+    width = 4 + 2 * len(STEPS) + TEXT_FEATURES
     if toxic_share is None:
         toxic_share = len(toxic) / max(len(rows), 1)
     if min(len(toxic), len(ordinary)) < 2:
         share = min(max(toxic_share, 1e-13), 1 - 1e-13)
-        return ToxicityModel(FRAME.encode(), FRAME.encode(), np.zeros(width), np.ones(width), np.zeros(width), float(np.log(share / (1 - share))))
+        return ToxicityModel(FRAME.encode(), FRAME.encode(), b"", b"", np.zeros(width), np.ones(width), np.zeros(width), float(np.log(share / (1 - share))))
     # Every third text calibrates; the dictionaries are trained on the others and don't know it.
     rest = lambda texts: [t for i, t in enumerate(texts) if i % 3 or len(texts) < 6]
-    dictionaries = _dictionaries(rest(toxic), rest(ordinary))
-    distance = Distance(*dictionaries)
-    x = np.array([features(distance, t) for t in toxic[::3] + ordinary[::3]])
+    dictionaries = (*_dictionaries(rest(toxic), rest(ordinary)), _trained(rest(toxic)), _trained(rest(ordinary)))
+    read = partial(features, Distance(*dictionaries[:2]), TextDistance(*dictionaries[2:]))
+    x = np.array([read(t) for t in toxic[::3] + ordinary[::3]])
     sizes = [len(toxic[::3]), len(ordinary[::3])]
     y = np.repeat([1.0, 0.0], sizes)
     share = np.repeat([toxic_share / sizes[0], (1 - toxic_share) / sizes[1]], sizes)
     mean, spread = x.mean(axis=0), np.where(x.std(axis=0) < 1e-6, np.inf, x.std(axis=0))
-    return ToxicityModel(*dictionaries, mean, spread, *_logistic((x - mean) / spread, y, share))
+    return ToxicityModel(*dictionaries, mean, spread, *_logistic((x - mean) / spread, y, share, max(1e-3, 1 / min(sizes))))
 
 
 def _known(labels: DataFrame) -> DataFrame:
@@ -182,12 +228,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL
     """At most ``2 * per_label`` labelled texts, of each at most ``chars`` characters, on the driver.
 
     Ids whose crc32 leaves 1 by 3 are held out. Toxic and ordinary rows are sampled apart, so their
-    share among the sampled rows is not that of all rows.
+    share among the sampled rows is not that of all rows. Of rows that share an id one excerpt counts,
+    the least, so the same rows are fitted in every run.
     """
     chosen = sample_by_label(_known(labels), "toxic", per_label, 2 * per_label)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("doc_id", excerpt(F.col("text"), chars).alias("text"), "toxic").limit(3 * per_label).collect()
-    return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))]
+    rows = texts.select("doc_id", F.coalesce(excerpt(F.col("text"), chars), F.lit("")).alias("text"), "toxic")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
 def trained(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> ToxicityModel:
@@ -202,9 +250,9 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_c
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        distance = Distance(model.toxic, model.ordinary)
+        read = model.reader()
         for texts in batches:
-            x = np.array([features(distance, t.as_py()) for t in texts]).reshape(len(texts), len(model.weights))
+            x = np.array([read(t.as_py()) for t in texts]).reshape(len(texts), len(model.weights))
             wordless = np.array([not WORD.search(t.as_py() or "") for t in texts], bool)
             yield pa.array(np.where(wordless, 0.0, model.scores(x)), pa.float64())
 
