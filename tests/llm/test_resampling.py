@@ -79,3 +79,24 @@ def test_query(spark, tmp_path, rows):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = queries.op10_resampling(spark, str(tmp_path)).collect()
     assert len(got) == len(rows) and sum(r["kept"] for r in got) >= math.ceil(0.75 * len(rows))
+
+
+def test_sieve_loses_no_id(spark, monkeypatch):
+    docs = spark.range(5000).selectExpr("if(id % 9 = 0, null, id - 2500) doc_id", "'a' text")
+    wanted = spark.range(0, 5000, 7).selectExpr("id - 2500 t")
+    ids = {r[0] for r in wanted.collect()}
+    near = [r[0] for r in rs.sifted(docs, wanted).select("doc_id").collect()]
+    there = [r[0] for r in docs.select("doc_id").collect() if r[0] in ids]
+    assert len(near) < 1.1 * len(there) and set(there) <= set(near) and len(near) == len(set(near))
+    monkeypatch.setattr(rs, "SIEVE_BITS", 64)
+    assert set(there) <= {r[0] for r in rs.sifted(docs, wanted).select("doc_id").collect()}
+    assert rs.sifted(docs, wanted.where("false")).count() == 0
+
+
+def test_long_text_and_clashing_names(spark):
+    long = "good text " * 200_000
+    docs = spark.createDataFrame([(1, long, 1, 2), (2, "SPAM", 3, 4), (2, None, 5, 6)], "doc_id long, text string, bits int, word int")
+    got = rs.resample(docs, docs.where("doc_id = 1"), share=1.0).collect()
+    assert len(got) == 3 and all(r["kept"] for r in got)
+    weights = {r["doc_id"]: r["log_weight"] for r in got if r["log_weight"]}
+    assert weights[1] > 0 > weights[2]

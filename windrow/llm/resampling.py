@@ -7,7 +7,8 @@ largest keys draws k documents without replacement by their weights.
 
 Null texts and texts without words have weight 0 in logarithm, that of a neutral text. Rows whose
 key ties with the k-th are all kept. Repeated rows share their id's noise. Without target rows all
-weights are equal. Other columns are ignored; an empty table gives no rows.
+weights are equal. Texts of any length are read whole. Other columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ LONGEST = 2
 SCALE = 50.0
 SMOOTHING = 0.5
 BINS = 4_096
+# Bits of the sieve that target ids leave, in words of 64: at most 2**18 rows are broadcast.
+SIEVE_BITS = 1 << 24
 # A bin of no more rows than this is sorted to find the k-th key.
 SORTED_ROWS = 10_000
 
@@ -42,25 +45,39 @@ def ngrams(text: str | None) -> np.ndarray:
 def bucket_counts(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """``bucket, raw, target``: n-grams of all documents and of those in ``target_ids``.
 
-    One pass over the texts; a task sends one row per bucket, whatever it has read. ``target_ids``
-    may be of any size: Spark broadcasts it by its size, or joins by key and splits heavy keys.
+    A task sends one row per bucket, whatever it has read. All texts are counted where they are read;
+    the target texts alone are moved, to meet their ids by key (Spark splits heavy keys). One plan for
+    ``target_ids`` of any size.
     """
     wanted = target_ids.select(F.col("doc_id").alias("t")).where("t is not null").distinct()
-    marked = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("t"), "left")
+    raw = _counted(docs.select("text")).withColumnRenamed("n", "raw").withColumn("target", F.lit(0).cast("long"))
+    meant = sifted(docs.select("doc_id", "text"), wanted).join(wanted.hint("merge"), F.col("doc_id") == F.col("t"), "left_semi")
+    target = _counted(meant.select("text")).select("bucket", F.lit(0).cast("long").alias("raw"), F.col("n").alias("target"))
+    return raw.unionByName(target).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+
+
+def sifted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` may be in ``wanted`` (``t``), with all that are: those whose
+    hash meets a bit of the sieve, a table of fixed size. However full it is, none is lost."""
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(SIEVE_BITS))
+    word = lambda x: F.shiftright(place(x), 6)
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place(x), F.lit(64)).cast("int"))
+    words = wanted.groupBy(word("t").alias("word")).agg(F.bit_or(bit("t")).alias("bits"))
+    near = docs.join(F.broadcast(words), word("doc_id") == F.col("word"))
+    return near.where(F.col("bits").bitwiseAND(bit("doc_id")) != 0).drop("word", "bits")
+
+
+def _counted(texts: DataFrame) -> DataFrame:
+    """``bucket, n``: one row per bucket and task."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        n = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text, wanted in zip(batch.column(0), batch.column(1)):
-                counts = np.bincount(ngrams(text.as_py()), minlength=BUCKETS)
-                raw += counts
-                if wanted.as_py():
-                    target += counts
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(raw), pa.array(target)], ["bucket", "raw", "target"])
-
-    rows = marked.select("text", F.col("t").isNotNull().alias("wanted"))
-    parts = rows.mapInArrow(counted, "bucket long, raw long, target long")
-    return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+            for text in batch.column(0):
+                n += np.bincount(ngrams(text.as_py()), minlength=BUCKETS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(n)], ["bucket", "n"])
+
+    return texts.mapInArrow(counted, "bucket long, n long")
 
 
 def log_ratios(counts: DataFrame) -> np.ndarray:
