@@ -15,6 +15,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores put before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One step on edges ``a, b`` with ``a > b``.
 

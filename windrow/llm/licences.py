@@ -250,9 +250,16 @@ def _merged(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 def ordinary_paragraphs(docs: DataFrame, rows: int = ORDINARY_ROWS) -> list[str]:
-    """Lines of excerpts of the ``rows`` documents with the least hashes, on the driver."""
-    chosen = docs.where("text is not null").select(F.xxhash64("text").alias("h"), excerpt(F.col("text"), 400).alias("t"))
-    return [line for r in chosen.orderBy("h", "t").limit(rows).collect() for line in r["t"].split("\n")]
+    """Lines of excerpts of the ``rows`` different texts with the least hashes, on the driver.
+
+    Texts far from the least hashes are left out before the sort, by the number of different texts, so
+    that what reaches the driver does not grow with the table.
+    """
+    hashed = docs.where("text is not null").select(F.xxhash64("text").alias("h"), "text")
+    n = hashed.agg(F.approx_count_distinct("h")).first()[0]
+    near = hashed.where((F.col("h") / float(1 << 64) + 0.5) * n < 2 * rows)
+    chosen = near.groupBy("h").agg(F.min(excerpt(F.col("text"), 400)).alias("t"))
+    return [line for r in chosen.orderBy("h").limit(rows).collect() for line in r["t"].split("\n")]
 
 
 def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", out_col: str = "licences") -> DataFrame:

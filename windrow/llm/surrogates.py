@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.components import written
+from windrow.llm.components import free_names, written
 
 BROADCAST_TEXTS = 200_000
 NEEDS_LOOK = re.compile(r"[@\d]|AKIA|(?:sk|ghp|gho|xox[bp])[-_]|\b(?:M(?:rs?|s|me|lle|iss)|Dr|Herrn?|Frau|Señora?|Sra?|Господин|Госпожа)\b")
@@ -198,19 +198,21 @@ def attempts(found: DataFrame, key: bytes, make: Callable[[bytes, str, str, int]
 
 
 def replace(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
-    """``docs`` with the entities in ``text_col`` replaced, all else unchanged, in the same columns."""
+    """``docs`` with the entities in ``text_col`` replaced, all else unchanged, in the same columns,
+    whatever their names. Texts of any length are read whole."""
     if not key:
         raise ValueError("a secret key is needed")
     found = written(entities(docs, text_col), "entities")
     later = written(attempts(found, key), "attempts")
     rows, tries = docs, F.lit(None).cast("map<string,int>")
+    name_key, name_tries = free_names(docs, "text_key", "tries")
     if not later.isEmpty():
         lists = found.join(later, ["kind", "form"]).groupBy("text_key").agg(
-            F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "form"), "attempt"))).alias("_tries")
+            F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "form"), "attempt"))).alias(name_tries)
         )
-        lists = written(lists.withColumnRenamed("text_key", "_text_key"), "tries")
+        lists = written(lists.withColumnRenamed("text_key", name_key), "tries")
         lists = F.broadcast(lists) if lists.count() <= BROADCAST_TEXTS else lists
-        rows, tries = docs.join(lists, F.xxhash64(text_col) == F.col("_text_key"), "left"), F.col("_tries")
+        rows, tries = docs.join(lists, F.xxhash64(text_col) == F.col(name_key), "left"), F.col(name_tries)
 
     @F.arrow_udf("string")
     def replaced(texts: pa.Array, known: pa.Array) -> pa.Array:
@@ -225,4 +227,4 @@ def replace(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
             out.append("".join(parts) + text[at:] if parts else text)
         return pa.array(out, pa.string())
 
-    return rows.withColumn(text_col, replaced(F.col(text_col), tries)).drop("_text_key", "_tries")
+    return rows.withColumn(text_col, replaced(F.col(text_col), tries)).drop(name_key, name_tries)
