@@ -88,6 +88,8 @@ def test_sieve_loses_no_id(spark, monkeypatch):
     near = [r[0] for r in rs.sifted(docs, wanted).select("doc_id").collect()]
     there = [r[0] for r in docs.select("doc_id").collect() if r[0] in ids]
     assert len(near) < 1.1 * len(there) and set(there) <= set(near) and len(near) == len(set(near))
+    narrow = docs.selectExpr("cast(doc_id as int) doc_id", "text")
+    assert rs.sifted(narrow, wanted).count() == len(near)
     monkeypatch.setattr(rs, "SIEVE_BITS", 64)
     assert set(there) <= {r[0] for r in rs.sifted(docs, wanted).select("doc_id").collect()}
     assert rs.sifted(docs, wanted.where("false")).count() == 0

@@ -80,6 +80,9 @@ def test_frames(spark, monkeypatch, later):
         monkeypatch.setattr(s, "attempts", lambda found, key: found.select("kind", "form").distinct().selectExpr("*", "1 attempt"))
     rows = [(1, TEXT, "x"), (1, TEXT, "x"), (2, None, None), (3, "", "y"), (None, "call +1 (017) 555-7713", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+    clashing = docs.selectExpr("*", "1 _tries", "2 _text_key", "3 tries", "4 text_key")
+    assert s.replace(clashing, KEY).columns == clashing.columns
+    assert s.replace(clashing, KEY).agg({"_tries": "sum", "text_key": "sum"}).first()[0] is not None
     got = s.replace(docs, KEY)
     assert got.columns == docs.columns and got.where("false").count() == 0
     tries = {m[2:]: 1 for t in (TEXT, rows[4][1]) for m in s.mentions(t)} if later else {}

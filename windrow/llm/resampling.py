@@ -51,15 +51,17 @@ def bucket_counts(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """
     wanted = target_ids.select(F.col("doc_id").alias("t")).where("t is not null").distinct()
     raw = _counted(docs.select("text")).withColumnRenamed("n", "raw").withColumn("target", F.lit(0).cast("long"))
-    meant = sifted(docs.select("doc_id", "text"), wanted).join(wanted.hint("merge"), F.col("doc_id") == F.col("t"), "left_semi")
+    # An inner join with distinct ids: Catalyst would push a semi-join below the sieve.
+    meant = sifted(docs.select("doc_id", "text"), wanted).join(wanted.hint("merge"), F.col("doc_id") == F.col("t"))
     target = _counted(meant.select("text")).select("bucket", F.lit(0).cast("long").alias("raw"), F.col("n").alias("target"))
     return raw.unionByName(target).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def sifted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` may be in ``wanted`` (``t``), with all that are: those whose
-    hash meets a bit of the sieve, a table of fixed size. However full it is, none is lost."""
-    place = lambda x: F.pmod(F.xxhash64(x), F.lit(SIEVE_BITS))
+    hash meets a bit of the sieve, a table of fixed size. However full it is, none is lost. Ids are
+    whole numbers of any width, or strings."""
+    place = lambda x: F.pmod(F.xxhash64(F.col(x).cast("string")), F.lit(SIEVE_BITS))
     word = lambda x: F.shiftright(place(x), 6)
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place(x), F.lit(64)).cast("int"))
     words = wanted.groupBy(word("t").alias("word")).agg(F.bit_or(bit("t")).alias("bits"))
