@@ -44,7 +44,7 @@ PER_LABEL = 3_000
 EXCERPT_CHARS = 10_000
 STEPS = (1, 2, 3, 4, 5)
 MEMO_WORDS = 200_000
-TEXT_FEATURES = 5
+TEXT_FEATURES = 4
 
 
 def words(text: str | None) -> list[str]:
@@ -103,7 +103,7 @@ class TextDistance:
         sizes = np.array([len(x) + 1 for x in cut])
         top = np.sort(saved)[-3:]
         return [
-            float((saved / sizes).max()), float(saved.sum() / sizes.sum()), float(saved.sum() / len(cut) ** 0.5),
+            float((saved / sizes).max()), float(saved.sum() / sizes.sum()),
             float(top.mean()), float((saved > 0).mean()),
         ]
 
