@@ -314,3 +314,28 @@ def test_cogroup_fn_cuts_both_sides(spark):
     assert values(both) == values(expected) and both.count() > 10_000
     with pytest.raises(ValueError, match="per_left_row"):
         cogroup_fn(left, right, ["k"], match, schema, per_right_row=True)
+
+
+def test_group_batches_fn_never_sorts_a_heavy_key(spark, monkeypatch):
+    from windrow.functions import user
+
+    def sizes(batches):
+        key, seen = None, []
+        for pdf in batches:
+            assert pdf["key"].nunique(dropna=False) == 1 and list(pdf.columns) == ["key", "value"]
+            key = pdf["key"].iloc[0]
+            seen.append(len(pdf))
+        yield pd.DataFrame({"key": [key], "n": [sum(seen)], "longest": [max(seen)]})
+
+    monkeypatch.setattr(user, "MAX_GROUP_ROWS", 1_000)
+    rows = spark.range(9_000).selectExpr("nullif(case when id < 4000 then 'a' when id < 7000 then 'b' else 'c' || id % 3 end, 'b') as key", "id as value")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        grouped = group_batches_fn(rows, ["key"], sizes, "key string, n long, longest long")
+        got = {r["key"]: (r["n"], r["longest"]) for r in grouped.collect()}
+        steps = plan(grouped)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {"a": (4_000, 100), None: (3_000, 100), "c0": (666, 100), "c1": (667, 100), "c2": (667, 100)}
+    heavy = steps[steps.index("MapInPandas") : steps.index("FlatMapGroups")]
+    assert "Sort " not in heavy

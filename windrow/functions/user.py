@@ -8,25 +8,35 @@ function allows it, and refused only where ``max_rows`` asks for that.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import BooleanType, DataType, IntegralType, StringType, StructType
 
 from windrow.operators.skew import (
     COPY,
     MAX_GROUP_ROWS,
+    PLACE,
     SLICES,
+    common_slices,
     heaviest_keys,
     heavy_keys,
     number_copies,
+    numbered_keys,
     slice_of,
     spread,
+    with_place,
     with_slices,
 )
 
+# Rows of a function's output that are handed on together.
+BATCH_ROWS = 10_000
+
 
 def flat_map_fn(
     df: DataFrame,
@@ -112,6 +122,10 @@ def group_batches_fn(
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows, so a group may be larger than a worker's
     memory. Its batches are read by one task, one after the other; where parts of a group can be
     worked on apart, ``group_fn`` with ``combine`` spreads them.
+
+    Keys are counted first. Those of more than ``MAX_GROUP_ROWS`` rows, at most the
+    ``MAX_BROADCAST_KEYS`` heaviest, have a partition each, which is read as it comes and never
+    sorted, so a task's memory does not grow with a key. All others are sorted by key.
     """
 
     def run(batches):
@@ -119,7 +133,22 @@ def group_batches_fn(
 
     # Spark tells the forms of a function apart by its type hints.
     run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
-    return spread(df, *keys).groupBy(*keys).applyInPandas(run, schema)
+    heavy = numbered_keys(df, keys, MAX_GROUP_ROWS)
+    if heavy is None:
+        return spread(df, *keys).groupBy(*keys).applyInPandas(run, schema)
+    partitions, listed = heavy
+
+    def run_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filled = (pdf for pdf in batches if len(pdf))
+        first = next(filled, None)
+        if first is not None:
+            yield from fn(chain([first], filled))
+
+    placed = with_place(df, keys, listed)
+    alone = placed.where(F.col(PLACE).isNotNull()).repartitionById(partitions, PLACE).drop(PLACE)
+    others = placed.where(F.col(PLACE).isNull()).drop(PLACE)
+    light = spread(others, *keys).groupBy(*keys).applyInPandas(run, schema)
+    return alone.mapInPandas(run_one, schema).unionAll(light)
 
 
 def cogroup_fn(

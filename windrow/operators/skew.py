@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 # Rows one key may bring to one task before it is sliced.
 MAX_GROUP_ROWS = 100_000
@@ -22,6 +24,7 @@ SLICES = "_slices"
 COPIES = "_copies"
 PIECE = "_piece"
 COPY = "_copy"
+PLACE = "_place"
 
 
 def heavy_keys(
@@ -61,6 +64,35 @@ def heaviest_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFram
     return F.broadcast(heaviest.select(*keys, slices))
 
 
+def common_slices(left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int, slice_rows: float) -> DataFrame:
+    """Like ``heaviest_keys``, by the larger side of each key, in slices of ``slice_rows`` rows."""
+    counted = left.groupBy(*keys).count().unionByName(right.groupBy(*keys).count())
+    larger = counted.groupBy(*keys).agg(F.max("count").alias("count")).where(F.col("count") > max_rows)
+    heaviest = larger.orderBy(F.desc("count"), *keys).limit(MAX_BROADCAST_KEYS)
+    return F.broadcast(heaviest.select(*keys, F.ceil(F.col("count") / slice_rows).cast("int").alias(SLICES)))
+
+
+def numbered_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[int, DataFrame] | None:
+    """How many keys have more than ``max_rows`` rows, and each of them with a number from 0, or None.
+
+    At most the ``MAX_BROADCAST_KEYS`` heaviest are listed. Runs one aggregation over the keys.
+    """
+    rows = heaviest_keys(df, keys, max_rows).select(*keys).toArrow()
+    if rows.num_rows == 0:
+        return None
+    schema = df.select(*keys).schema
+    numbers = pa.array(range(rows.num_rows), pa.int32())
+    listed = df.sparkSession.createDataFrame(rows.append_column(PLACE, numbers), schema.add(PLACE, IntegerType()))
+    return rows.num_rows, F.broadcast(listed)
+
+
+def with_place(df: DataFrame, keys: Sequence[str], listed: DataFrame) -> DataFrame:
+    """Add the number of each row's key, null for keys that are not listed."""
+    renamed = listed.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys], PLACE)
+    same = [df[k].eqNullSafe(renamed[f"_heavy_{k}"]) for k in keys]
+    return df.join(renamed, same, "left").select(*df.columns, PLACE)
+
+
 def with_slices(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
     """Add the number of slices of each row's key, 1 for all but the heavy ones."""
     renamed = heavy.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys], SLICES)
