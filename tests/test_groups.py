@@ -339,3 +339,31 @@ def test_group_batches_fn_never_sorts_a_heavy_key(spark, monkeypatch):
     assert got == {"a": (4_000, 100), None: (3_000, 100), "c0": (666, 100), "c1": (667, 100), "c2": (667, 100)}
     heavy = steps[steps.index("MapInPandas") : steps.index("FlatMapGroups")]
     assert "Sort " not in heavy
+
+
+def test_cogroup_fn_reads_many_keys_in_one_stream(spark):
+    """A call per key, with the pandas types of a group that came alone, whatever the batches."""
+    left = spark.sql(
+        "select if(id % 7 = 0, null, id % 7) as k, if(id % 3 = 0, null, 9007199254740993 + id) as v, cast(id as short) as s,"
+        " if(id % 2 = 0, null, id % 4 = 1) as b, cast(id as string) as t, timestamp_seconds(id) as at, array(id) as l from range(60)"
+    )
+    right = spark.sql("select if(id % 9 = 0, null, id % 9) as k, cast(if(id % 5 = 0, null, id) as int) as w from range(30)")
+
+    def seen(a, b):
+        key = (a if len(a) else b)["k"].iloc[0]
+        held = [str(df.dtypes.to_dict()) + str(df.index) + str(sorted(map(str, df.to_numpy().tolist()))) for df in (a, b)]
+        return pd.DataFrame([(str(key), *held)])
+
+    schema = "k string, a string, b string"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = cogroup_fn(left, right, ["k"], seen, schema)
+        assert "MapInPandas" in plan(got) and "CoGroup" not in plan(got)
+        want = left.groupBy("k").cogroup(right.groupBy("k")).applyInPandas(seen, schema)
+        assert values(got) == values(want) and got.count() == 9
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    none = cogroup_fn(left, right, ["k"], lambda a, b: pd.DataFrame(), schema)
+    assert none.collect() == []
+    with pytest.raises(Exception, match="returned columns"):
+        cogroup_fn(left, right, ["k"], lambda a, b: a, schema).collect()
