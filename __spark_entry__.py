@@ -777,6 +777,7 @@ def q_cogroup_fn_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_left_row=True,
         per_right_row=True,
         max_rows=5_000,
+        matching=["order"],
     )
 
 

@@ -367,3 +367,42 @@ def test_cogroup_fn_reads_many_keys_in_one_stream(spark):
     assert none.collect() == []
     with pytest.raises(Exception, match="returned columns"):
         cogroup_fn(left, right, ["k"], lambda a, b: a, schema).collect()
+
+
+def test_cogroup_fn_matching_columns_meet_only_their_like(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def match(left, right):
+        calls.add(1)
+        assert len(left) <= 200 and len(right) <= 200
+        return left.merge(right.drop(columns="k"), on="x")
+
+    left = spark.range(4_000).selectExpr("1 as k", "if(id % 100 = 0, null, id % 1000) as x", "id as a")
+    right = spark.range(3_000).selectExpr("1 as k", "if(id % 500 = 0, null, id % 1500) as x", "id as b")
+    both = {"per_left_row": True, "per_right_row": True, "max_rows": 100}
+    got = cogroup_fn(left, right, ["k"], match, "k int, x long, a long, b long", matching=["x"], **both)
+    expected = left.join(right, left["k"].eqNullSafe(right["k"]) & left["x"].eqNullSafe(right["x"])).select(left["k"], left["x"], "a", "b")
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    calls.value = 0
+    got.collect()
+    # Pairs of all slices are 1200 calls.
+    assert calls.value < 200
+    with pytest.raises(ValueError, match="per_right_row"):
+        cogroup_fn(left, right, ["k"], match, "k int", per_left_row=True, matching=["x"])
+    with pytest.raises(ValueError, match="one type"):
+        cogroup_fn(left, right.withColumn("x", F.col("x").cast("int")), ["k"], match, "k int", matching=["x"], **both)
+
+
+def test_cogroup_fn_matching_one_value_of_many_rows(spark):
+    left = spark.range(500).selectExpr("'k' as k", "7 as x", "id as a")
+    right = spark.range(300).selectExpr("'k' as k", "7 as x", "id as b")
+
+    def match(a, b):
+        assert len(a) < 250 and len(b) < 250
+        return a.merge(b.drop(columns="k"), on="x")
+
+    got = cogroup_fn(
+        left, right, ["k"], match, "k string, x int, a long, b long",
+        per_left_row=True, per_right_row=True, max_rows=100, matching=["x"],
+    )
+    assert got.count() == got.distinct().count() == 150_000

@@ -160,6 +160,7 @@ def cogroup_fn(
     per_left_row: bool = False,
     max_rows: int | None = None,
     per_right_row: bool = False,
+    matching: Sequence[str] = (),
 ) -> DataFrame:
     """A function over the left rows and the right rows of each key.
 
@@ -174,11 +175,21 @@ def cogroup_fn(
     Then both sides are cut, and each pair of slices is one call; neither side of a
     key is ever whole in one task. A part may be empty though its key is not, so the
     function may make nothing of an empty side.
+
+    Pairs of slices grow with the square of a key's rows. ``matching`` names columns of both
+    sides, of one type, such that a left and a right row that differ in any of them (nulls are
+    equal) make nothing together. Then both sides are cut by these columns alike and a part meets
+    only its like; only parts that are still too large are cut into pairs of slices.
     """
+    if matching and not per_right_row:
+        raise ValueError("matching needs per_right_row")
     if per_right_row:
         if not per_left_row:
             raise ValueError("per_right_row needs per_left_row")
-        return _cogroup_slices(left, right, keys, fn, schema, max_rows or MAX_GROUP_ROWS)
+        limit = max_rows or MAX_GROUP_ROWS
+        if matching:
+            return _cogroup_matching(left, right, keys, fn, schema, limit, matching)
+        return _cogroup_slices(left, right, keys, fn, schema, limit)
     if max_rows is not None and heavy_keys(right, keys, max_rows) is not None:
         raise ValueError(f"a right key has more than {max_rows} rows")
     if max_rows is None and not per_left_row:
@@ -198,6 +209,33 @@ def cogroup_fn(
     return _cogrouped(sliced, copied, [*keys, "_slice"], run, schema)
 
 
+def _cogroup_matching(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: StructType | str,
+    max_rows: int,
+    matching: Sequence[str],
+) -> DataFrame:
+    """Cogroup by parts of a key that agree in a hash of the matching columns."""
+    for c in matching:
+        if left.schema[c].dataType != right.schema[c].dataType:
+            raise ValueError(f"{c} must have one type on both sides")
+    # Parts of half the limit on average, so that hardly any comes out above it.
+    heavy = common_slices(left, right, keys, max_rows, max_rows / 2)
+    part = slice_of(list(matching), F.col(SLICES)).alias("_part")
+    sides = [with_slices(df, keys, heavy).select(*df.columns, part) for df in (left, right)]
+    cells = [*keys, "_part"]
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return fn(a.drop(columns="_part"), b.drop(columns="_part"))
+
+    if all(heavy_keys(side, cells, max_rows) is None for side in sides):
+        return _cogrouped(*sides, cells, run, schema)
+    return _cogroup_slices(*sides, cells, run, schema, max_rows)
+
+
 def _cogroup_slices(
     left: DataFrame,
     right: DataFrame,
