@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from conftest import DELIVERIES, HEADER, MATCHES, plan, values
+from pyspark.sql import functions as F
 
 from windrow.plans import match_batsman_runs, outs_by_player_and_kind
 from windrow.plans.batch import joined_match_runs, match_lines, outs_lines
@@ -70,3 +71,21 @@ def test_scratch_dir_uses_the_shared_folder():
     shared = SimpleNamespace(conf={"spark.checkpoint.dir": "s3a://bucket/shared/"})
     assert scratch_dir(shared, "x").startswith("s3a://bucket/shared/windrow-x-")
     assert scratch_dir(shared, "x") != scratch_dir(shared, "x")
+
+
+def test_runs_are_summed_and_joined_in_a_fixed_number_of_partitions(spark, lines, matches):
+    """File splits and merged partitions grow with the input, and so would sums and sorts on them."""
+    numbers = spark.range(0, 4_000, numPartitions=8)
+    hot = numbers.select(F.concat(F.lit("100,1,0,1,Ann,Bo,Cy,"), F.col("id") % 7, F.lit(",0,4,0,0,NA,NA,NA,NA,Reds,Blues")).alias("value"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = match_batsman_runs(hot, matches.limit(3))
+        left = plan(runs).split("SortMergeJoin")[1].split("Sort [_key")[0]
+        assert left.count("Exchange") == left.count("REPARTITION_BY_NUM") == 2
+        # The rows of one key are dealt to several partitions by where they come from.
+        assert "SPARK_PARTITION_ID()" in left
+        got = [(r["id"], r["batsman"], r["total_runs"]) for r in runs.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [("100", "Ann", sum(i % 7 for i in range(4_000)))]

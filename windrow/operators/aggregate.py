@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.operators.skew import MAX_GROUP_ROWS, SLICES, heaviest_keys, slice_of, with_slices
+from windrow.operators.skew import MAX_GROUP_ROWS, SLICES, heaviest_keys, slice_of, spread, with_slices
 from windrow.schemas import SCORE_OUT
 
 
@@ -95,10 +95,16 @@ def sum_runs_by_match_batsman(df: DataFrame) -> DataFrame:
     """Runs per match and batsman, as a score row where every other field is the default.
 
     Grouping is by the two columns, so rows with an empty batsman are kept.
+
+    There are about as many groups as rows, so sums made where a file is read would hold a whole
+    file split in memory. Rows are dealt to a fixed number of partitions first, those of one key
+    by the partition they come from, so that a key of very many rows still spreads. The partial
+    sums then move by ``id``, where a join by it finds them.
     """
-    totals = df.groupBy("id", "batsman").agg(
-        F.sum(F.col("batsman_runs").cast("bigint")).alias("total_runs")
-    )
+    runs = df.select("id", "batsman", F.col("batsman_runs").cast("bigint").alias("runs"), F.spark_partition_id().alias("part"))
+    dealt = ["id", "batsman", "part"]
+    partial = spread(runs, *dealt).groupBy(*dealt).agg(F.sum("runs").alias("runs"))
+    totals = spread(partial.drop("part"), "id").groupBy("id", "batsman").agg(F.sum("runs").alias("total_runs"))
     computed = ("id", "batsman", "total_runs")
     defaults = []
     for f in SCORE_OUT.fields[:-1]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.operators.aggregate import collect_groups
-from windrow.operators.skew import MAX_GROUP_ROWS
+from windrow.operators.skew import MAX_GROUP_ROWS, spread
 
 ERROR = "error"
 DROP = "drop"
@@ -74,7 +74,8 @@ def lookup_join_strict(
     )
     repeated = F.raise_error(_message("several lookup rows for key ", on)).cast("boolean")
     no_rows = (
-        right.groupBy(on)
+        spread(right.select(on), on)
+        .groupBy(on)
         .count()
         .where(F.when(F.col("count") > 1, repeated).otherwise(False))
         .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in matched.schema.fields])
