@@ -71,3 +71,24 @@ def test_clashing_names_and_copies(spark):
     assert {(r["_host"], r["host"], r["template"]) for r in got.values()} == {("x", "y", "z")}
     alone = spark.createDataFrame([("h", 1, "<p>a</p>"), ("h", 1, "<p>a</p>"), ("h", 2, "<i>b</i>"), ("h", 2, "<i>b</i>")], "host string, key long, html string")
     assert pages.occurrences(alone).select("vector").distinct().count() == 2
+
+
+def article_page(i):
+    return (
+        f"<html><body><article><h1>Story {i}</h1><div><p>Please subscribe to our letter</p></div><p>Told {i} in full"
+        f"<p>{'and so on ' * (i % 5)}<p>the end {i}</article></body></html>"
+    )
+
+
+def test_template_of_articles(spark):
+    """A text that stands on a host's pages without a telling name, inside the article."""
+    rows = [(i, f"http://h.example/{i}", article_page(i)) for i in range(1, 11)] + [(50, "http://few.example", article_page(50))]
+    rows += [(100 + i, f"http://copies.example/{i}", article_page(7)) for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["main_text"] for r in pages.extract(frame).collect()}
+    middle = {i: "".join(["and so on "] * (i % 5)) for i in got}
+    assert {i: got[i] for i in range(1, 11)} == {i: f"Story {i} Told {i} in full {middle[i]}the end {i}" for i in range(1, 11)}
+    # Neither a single page nor copies of one page tell what a host's template is.
+    letter = "Please subscribe to our letter"
+    assert got[50] == f"Story 50 {letter} Told 50 in full the end 50"
+    assert all(got[100 + i] == f"Story 7 {letter} Told 7 in full and so on and so on the end 7" for i in range(6))
