@@ -84,8 +84,12 @@ def test_template_of_articles(spark):
     """A text that stands on a host's pages without a telling name, inside the article."""
     rows = [(i, f"http://h.example/{i}", article_page(i)) for i in range(1, 11)] + [(50, "http://few.example", article_page(50))]
     rows += [(100 + i, f"http://copies.example/{i}", article_page(7)) for i in range(6)]
+    # Pages of a small host that share a passage.
+    quoted = "<p>One two three four</p>"
+    rows += [(200 + i, f"http://small.example/{i}", f"<article><p>Page {i}</p>{quoted if i < 2 else ''}</article>") for i in range(4)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["main_text"] for r in pages.extract(frame).collect()}
+    assert [got[200 + i] for i in range(4)] == ["Page 0 One two three four", "Page 1 One two three four", "Page 2", "Page 3"]
     middle = {i: "".join(["and so on "] * (i % 5)) for i in got}
     assert {i: got[i] for i in range(1, 11)} == {i: f"Story {i} Told {i} in full {middle[i]}the end {i}" for i in range(1, 11)}
     # Neither a single page nor copies of one page tell what a host's template is.

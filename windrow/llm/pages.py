@@ -33,6 +33,8 @@ LEAST_PAGES = 4
 # A template class is found on at least this share of a host's pages and has this many tokens.
 LEAST_SHARE = 0.5
 LEAST_TOKENS = 3
+# Text in an article is a page's own until it is on this share of the host's pages, LEAST_PAGES at least.
+LEAST_SAID_SHARE = 0.8
 BROADCAST_TOKENS = 500_000
 HELD_TOKENS = 200_000
 
@@ -128,7 +130,8 @@ class Walk:
 
 @lru_cache(maxsize=100_000)
 def _token(kind: str, path: str, value: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind} {path} {value}".encode("utf-8", "surrogatepass")) - (1 << 63)
+    """An even number; those of ``_said`` are odd."""
+    return (xxhash.xxh64_intdigest(f"{kind} {path} {value}".encode("utf-8", "surrogatepass")) & ~1) - (1 << 63)
 
 
 def page_tokens(page: str) -> list[int]:
@@ -165,7 +168,7 @@ def _said(runs: list[tuple[str, list[str]]]) -> list[list[int]]:
     out = []
     for (path, text), (_, words) in zip(texts, runs):
         whole = xxhash.xxh64_intdigest(f"said {path} {times[path, text]} {text}".encode("utf-8", "surrogatepass"))
-        out.append([((whole + i) & ((1 << 64) - 1)) - (1 << 63) for i in range(min(len(words), LEAST_TOKENS))])
+        out.append([(((whole + 2 * i) & ((1 << 64) - 1)) | 1) - (1 << 63) for i in range(min(len(words), LEAST_TOKENS))])
     return out
 
 
@@ -218,7 +221,10 @@ def templates(pages: DataFrame) -> DataFrame:
     so the list stays as small as a page.
     """
     sizes = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    often = occurrences(pages).join(sizes, "host").where((F.col("n_pages") >= LEAST_SHARE * F.col("pages")) & F.col("differ"))
+    said = F.col("token").bitwiseAND(1) == 1
+    share = F.when(said, LEAST_SAID_SHARE).otherwise(LEAST_SHARE)
+    often = occurrences(pages).join(sizes, "host").where((F.col("n_pages") >= share * F.col("pages")) & F.col("differ"))
+    often = often.where(~said | (F.col("n_pages") >= LEAST_PAGES))
     often = written(often, "tokens")
     classes = often.groupBy("host", "vector").agg(F.count("*").alias("size")).where(F.col("size") >= LEAST_TOKENS)
     members = often.join(classes, ["host", "vector"])
