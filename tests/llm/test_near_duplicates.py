@@ -105,3 +105,46 @@ def test_query(spark, tmp_path, rows):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted((tuple(r) for r in queries.op4_minhash(spark, str(tmp_path)).collect()), key=repr)
     assert got == brute(rows, 3, 85)
+
+
+def test_pairs_short_of_the_threshold_are_not_compared_on_their_texts(spark, monkeypatch):
+    chance, out = random.Random(11), []
+    shared = make(chance, 130)
+    for _ in range(150):  # about 0.7 alike: many share a band, none is a link
+        out.append(" ".join(shared + make(chance, 27)))
+    rows, compared = list(enumerate(out)), []
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    similar = nd.similar
+    monkeypatch.setattr(nd, "similar", counted)
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows, 3, 85)
+    assert sum(compared) < 150
+
+
+def test_parity_maps_never_hide_a_link():
+    chance = np.random.default_rng(3)
+    sets = []
+    for n in (1, 2, 31, 33, 60, 400, 520, 1030):
+        base = chance.integers(0, 2**63, n).astype(np.uint64)
+        sets += [np.unique(np.concatenate([base[: n - n // k], chance.integers(0, 2**63, n // k).astype(np.uint64)])) for k in (5, 9, 15, 40, 2000)]
+    sizes, maps = np.array([len(s) for s in sets]), [nd.parity(s) for s in sets]
+    groups, sides = np.arange(len(sets)), np.zeros(len(sets), np.int64)
+    i, j, _ = nd.near_pairs(sizes, maps, groups, sides, 85)
+    found = {frozenset(p) for p in zip(i.tolist(), j.tolist())}
+    links = set()
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                links.add(frozenset((a, b)))
+    assert len(links) > 20 and links <= found and len(found) == len(i)
+    for a in range(len(sets)):
+        at, _ = nd.near_first(sizes, maps, np.full(len(sets), a), 85)
+        assert {frozenset((a, b)) for b in at.tolist()} == {p for p in found if a in p}
+    half = (groups % 2).astype(np.int64)
+    i, j, _ = nd.near_pairs(sizes, maps, groups, half, 85)
+    assert {frozenset(p) for p in zip(i.tolist(), j.tolist())} == {p for p in found if len({half[k] for k in p}) == 2}

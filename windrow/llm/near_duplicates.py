@@ -4,11 +4,12 @@ One permutation shuffles the shingles' ids, a second one, shifted circularly by
 coordinates of the signature: the least of ``second((first(x) + k) mod 2**32)`` over the set. Runs of
 coordinates are hashed into bands; documents that agree in a band are compared on their full sets.
 
-Texts with equal sets are one class first. In a band's bucket every class is compared with the
-bucket's least one, then, in buckets of several components, with a few others. What that leaves in
-different components is paired by its rarest shingles, an exact filter that members sharing only a
-frequent passage don't pass. So a large group costs a few comparisons per member, and no link between
-a bucket's members of different components is left out.
+Texts with equal sets are one class first. In a band's bucket every class meets the bucket's least
+one. What that leaves in different components meets block by block: first each component's nearest
+pair, then all pairs. Before texts are moved, the pairs are judged by parity maps, an exact filter:
+one bit per place tells whether an odd number of the set's shingles falls there, so two maps differ
+in no more places than their sets have shingles that are not shared. No pair of a bucket's members
+in different components that can reach the threshold is left out.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.llm.components import components, written
@@ -31,8 +32,11 @@ MISS = 1e-6
 BROADCAST_IDS = 1_000_000
 # Set members signed at a time; keeps the work inside the processor's cache.
 BLOCK = 1 << 16
-# Rounds of comparing members of mixed buckets with so many others each, before the exact rest.
-CENTRE_ROUNDS, CENTRES = 2, 4
+# Rounds of comparing the nearest pairs of components in mixed buckets, before all the rest.
+NEAREST_ROUNDS = 2
+# Members of a bucket that meet another such number in one go, and the most bits of a parity map.
+MEET = 1024
+PARITY_BITS = 1 << 16
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -80,8 +84,8 @@ def band_keys(signed: np.ndarray, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, size: int, percent: int, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n, class, bands``: set size, 128-bit key of the set, band keys. Empty sets have
-    neither class nor bands."""
+    """``doc_id, n, class, bands, parity``: set size, 128-bit key of the set, band keys, parity map.
+    Empty sets have none of the last three."""
     bands = bands_for(percent, rows)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,12 +102,13 @@ def sketch(docs: DataFrame, size: int, percent: int, rows: int = ROWS, id_col: s
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_set_key(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([of_row.get(i) for i in range(len(sets))], pa.list_(pa.int64())),
+                        pa.array([parity(s) if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "n", "class", "bands"],
+                    ["doc_id", "n", "class", "bands", "parity"],
                 )
 
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows_in.mapInArrow(sketched, "doc_id long, n long, class binary, bands array<long>")
+    return rows_in.mapInArrow(sketched, "doc_id long, n long, class binary, bands array<long>, parity binary")
 
 
 def _set_key(members: np.ndarray) -> bytes:
@@ -111,6 +116,87 @@ def _set_key(members: np.ndarray) -> bytes:
     return np.array([mix64(members).sum(dtype=np.uint64), again.sum(dtype=np.uint64)]).tobytes()
 
 
+def parity(members: np.ndarray) -> bytes:
+    """A map of at least two bits per member: whether an odd number of members falls on each."""
+    bits = min(PARITY_BITS, 64 << ((2 * len(members) - 1) // 64).bit_length())
+    counts = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(maps: np.ndarray, width: int) -> np.ndarray:
+    """The maps as they are with fewer bits, ``width`` 64-bit words."""
+    while maps.shape[1] > width:
+        half = maps.shape[1] // 2
+        maps = maps[:, :half] ^ maps[:, half:]
+    return maps
+
+
+def _by_width(maps: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each map length in 64-bit words: which maps have it, and those as rows."""
+    lengths = np.fromiter(map(len, maps), np.int64, len(maps)) // 8
+    out = {}
+    for width in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == width)
+        out[width] = at, np.frombuffer(b"".join([maps[i] for i in at.tolist()]), np.uint64).reshape(len(at), width)
+    return out
+
+
+def _room(n_a, n_b, percent: int):
+    """How many shingles two sets of these sizes may not share and still reach the threshold."""
+    both = n_a + n_b
+    return both - 2 * -(-percent * both // (100 + percent))
+
+
+def near_first(sizes: np.ndarray, maps: list[bytes], first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that may reach the threshold with the row ``first`` names for each, and how far they are (0 to 1)."""
+    apart = np.abs(sizes - sizes[first])
+    widths = _by_width(maps)
+    width_of, place = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
+    for width, (at, _) in widths.items():
+        width_of[at], place[at] = width, np.arange(len(at))
+    for wide, (_, rows) in widths.items():
+        for narrow, (_, others) in widths.items():
+            for mine, yours in ((wide, narrow), (narrow, wide)) if wide > narrow else ((wide, narrow),) if wide == narrow else ():
+                at = np.flatnonzero((width_of == mine) & (width_of[first] == yours))
+                own, other = widths[mine][1][place[at]], widths[yours][1][place[first[at]]]
+                differ = np.bitwise_count(_folded(own, narrow) ^ _folded(other, narrow)).sum(1, dtype=np.int64)
+                apart[at] = np.maximum(apart[at], differ)
+    room = _room(sizes, sizes[first], percent)
+    at = np.flatnonzero((apart <= room) & (first != np.arange(len(sizes))))
+    return at, apart[at] / np.maximum(room[at], 1)
+
+
+def near_pairs(sizes: np.ndarray, maps: list[bytes], groups: np.ndarray, sides: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Pairs of rows of different ``groups`` that may reach the threshold, and how far they are (0 to 1).
+
+    With two ``sides`` only pairs of one row of each are meant.
+    """
+    left, right, far = [], [], []
+    two = bool(sides.any()) and not bool(sides.all())
+    widths = _by_width(maps)
+    for wide, (rows, of_rows) in widths.items():
+        for narrow, (others, of_others) in widths.items():
+            if narrow > wide:
+                continue
+            mine = _folded(of_rows, narrow)
+            for k, row in enumerate(rows.tolist()):
+                # Only sizes that fit, so that most others are not looked at.
+                may = (groups[others] != groups[row]) & ((sides[others] != sides[row]) if two else (others != row))
+                may &= (others > row) | (wide != narrow)
+                room = _room(sizes[row], sizes[others], percent)
+                at = np.flatnonzero(may & (np.abs(sizes[others] - sizes[row]) <= room))
+                if not len(at):
+                    continue
+                differ = np.bitwise_count(of_others[at] ^ mine[k]).sum(1, dtype=np.int64)
+                near = differ <= room[at]
+                left.append(np.full(int(near.sum()), row))
+                right.append(others[at[near]])
+                far.append(differ[near] / np.maximum(room[at[near]], 1))
+    if not left:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return np.concatenate(left), np.concatenate(right), np.concatenate(far)
+
+
 def similar(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full shingle sets have a Jaccard similarity of ``percent`` or more.
 
@@ -137,59 +223,85 @@ def similar(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return joined.mapInArrow(compared, "a long, b long").distinct()
 
 
-def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``bucket, rep, n, component`` of the buckets whose members lie in several components."""
-    placed = members.join(found, F.col("rep") == F.col("node"), "left").select(
-        "bucket", "rep", "n", F.coalesce("component", "rep").alias("component")
-    )
-    placed = written(placed, "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return written(placed.join(mixed.where("low < high").select("bucket"), "bucket"), "mixed")
+def _to_least(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: each member with the nearest one of its buckets' least members, if that may be similar."""
 
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            bucket = table["bucket"].to_numpy()
+            if not len(bucket):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            first = np.repeat(starts, np.diff(np.append(starts, len(bucket))))
+            at, far = near_first(table["n"].to_numpy(), table["parity"].to_pylist(), first, percent)
+            rep = table["rep"].to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(rep[first[at]]), pa.array(rep[at]), pa.array(far)], ["a", "b", "far"])
+            # Rows come sorted: the last bucket's least one is held for the rest of it.
+            held = table.slice(starts[-1], 1)
+
+    slots = members.join(maps, "rep").repartition("bucket").sortWithinPartitions("bucket", "rep")
+    found = slots.select("bucket", "rep", "n", "parity").mapInArrow(met, "a long, b long, far double")
+    return found.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b")
 
-def _by_centres(slots: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with CENTRES others, drawn by hash, of other components."""
-    drawn = [
-        F.max_by(F.struct("rep", "n", "component"), F.xxhash64("rep", F.lit(turn * CENTRES + i))).alias(f"c{i}")
-        for i in range(CENTRES)
-    ]
-    centres = slots.groupBy("bucket").agg(*drawn).select("bucket", F.explode(F.array(*[f"c{i}" for i in range(CENTRES)])).alias("c")).distinct()
-    pairs = slots.join(centres, "bucket").where("component != c.component")
-    return pairs.selectExpr("least(rep, c.rep) a", "greatest(rep, c.rep) b", "n n_a", "c.n n_b")
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``bucket, rep, component, blocks`` of the buckets whose members lie in several components."""
+    placed = members.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    bucket = Window.partitionBy("bucket")
+    placed = placed.select(
+        "*", F.min("component").over(bucket).alias("low"), F.max("component").over(bucket).alias("high"),
+        F.ceil(F.count("*").over(bucket) / MEET).cast("int").alias("blocks"),
+    )
+    return written(placed.where("low < high").select("bucket", "rep", "component", "blocks"), "mixed")
 
 
-def _by_prefix(slots: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs of other components, among all members of ``slots``, that can reach the threshold.
+def _across(slots: DataFrame, maps: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """``a, b``: pairs of a bucket's members in different components that may be similar.
 
-    Sets that similar share one of their rarest shingles: with those of all members in one order,
-    rarest first, one of the first ``n - ceil(percent% of n) + 1``. So members that share only a
-    frequent passage are never paired.
+    ``nearest``: of each component only the nearest pair, block by block. A bucket of more than MEET
+    members is cut into blocks that meet two at a time, so that no task gets a whole large one.
     """
-    members = slots.select("rep", "n", "component").distinct()
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        rep, group = table["rep"].to_numpy(), table["component"].to_numpy()
+        i, j, far = near_pairs(table["n"].to_numpy(), table["parity"].to_pylist(), group, table["side"].to_numpy(), percent)
+        if nearest:
+            order = np.argsort(far, kind="stable")
+            i, j = i[order], j[order]
+            ends, at = np.concatenate([group[i], group[j]]), np.tile(np.arange(len(i)), 2)
+            by_rank = np.argsort(at, kind="stable")
+            chosen = np.unique(at[by_rank][np.unique(ends[by_rank], return_index=True)[1]])
+            i, j = i[chosen], j[chosen]
+        return np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def pairs(tables: list[pa.Table]) -> pa.RecordBatch:
+            found = [pairs_of(t) for t in tables] or [(np.empty(0, np.int64),) * 2]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
+
         for batch in batches:
-            for rep, text in zip(batch.column(0), batch.column(1)):
-                found = shingle_set(text.as_py(), size).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), rep.as_py())), pa.array(found)], ["rep", "shingle"])
-
-    wanted = members.select(F.col("rep").alias("doc_id"))
-    shingles = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(listed, "rep long, shingle long")
-    shingles = written(shingles.distinct(), "shingles")
-    frequency = shingles.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    # Shingles of one member alone come first in the order and pair nobody: only their number counts.
-    common = shingles.join(frequency, "shingle").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
-    first = f"n - cast(ceil(n * {percent} / 100) as int) + 1 - (n - size(s))"
-    prefix = common.join(members, "rep").where(f"{first} > 0").select(
-        "rep", "n", "component", F.explode(F.expr(f"slice(s.shingle, 1, cast({first} as int))")).alias("shingle")
-    )
-    prefix = written(prefix, "prefix")
-    several = prefix.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    prefix = prefix.join(several.where("low < high").select("shingle"), "shingle")
-    left = prefix.select("shingle", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = prefix.select("shingle", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    fits = f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"
-    return left.join(right, "shingle").where(f"a < b and c_a != c_b and {fits}").select("a", "b", "n_a", "n_b")
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            keys = [table[c].to_numpy() for c in ("bucket", "i", "j")]
+            if not len(table):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+            yield pairs([table.slice(at, to - at) for at, to in zip(starts[:-1], starts[1:])])
+            held = table.slice(starts[-1]).combine_chunks()
+        if held is not None:
+            yield pairs([held])
+
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = slots.select("bucket", "rep", "component", block.alias("block"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+    dealt = dealt.selectExpr("bucket", "rep", "component", "least(block, other) i", "greatest(block, other) j", "cast(block > other as int) side")
+    key = ["bucket", "i", "j"]
+    rows = dealt.join(maps, "rep").repartition(*key).sortWithinPartitions(*key)
+    return rows.select(*key, "side", "rep", "n", "component", "parity").mapInArrow(met, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,30 +317,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = written(sketch(texts, size, percent, rows), "sketches")
     classed = signed.where("doc_id is not null and n > 0")
-    classes = classed.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    classes = written(classes, "classes")
-    slots = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = slots.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("least"), F.max("rep").alias("last"))
-    shared = shared.where("least.rep < last").select("bucket", "least")
-    members = written(slots.join(shared, "bucket"), "members")
-    fits = "least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {}".format(percent)
-    near_least = members.selectExpr("least.rep a", "rep b", "least.n n_a", "n n_b").where(f"a < b and {fits}")
-    links = written(similar(written(near_least.select("a", "b").distinct(), "pairs"), texts, size, percent), "links")
+    alike = [F.first(c).alias(c) for c in ("n", "bands", "parity")]
+    classes = written(classed.groupBy("class").agg(F.min("doc_id").alias("rep"), *alike), "classes")
+    slots = classes.select("rep", F.explode("bands").alias("bucket"))
+    bucket = Window.partitionBy("bucket")
+    slots = slots.select("bucket", "rep", F.min("rep").over(bucket).alias("least"), F.max("rep").over(bucket).alias("last"))
+    members = written(slots.where("least < last").select("bucket", "rep"), "members")
+    several = members.select("rep").distinct()
+    maps = written(classes.select("rep", "n", "parity").join(several, "rep", "left_semi"), "maps")
+    links = written(similar(written(_to_least(members, maps, percent), "pairs"), texts, size, percent), "links")
     copies = classed.join(classes.select("class", "rep"), "class").where("doc_id != rep").select("doc_id", "rep")
     copies = written(copies, "copies")
     found = components(links.union(copies))
-    texts_open = None
-    for turn in range(CENTRE_ROUNDS):
-        open_slots = _mixed(members, found)
-        if texts_open is None:
-            reps = open_slots.select(F.col("rep").alias("doc_id")).distinct()
-            texts_open = written(texts.join(reps, "doc_id", "left_semi"), "texts")
-        near = _by_centres(open_slots, turn).where(fits).select("a", "b").distinct()
-        more = similar(written(near, "pairs"), texts_open, size, percent)
+    for turn in range(NEAREST_ROUNDS + 1):
+        members = _mixed(members.select("bucket", "rep"), found)
+        near = written(_across(members, maps, percent, nearest=turn < NEAREST_ROUNDS), "pairs")
+        more = similar(near, texts, size, percent)
         links = written(links.union(more), "links")
         found = components(links.union(copies))
-    rest = written(_by_prefix(_mixed(members, found), texts_open, size, percent).where(fits).select("a", "b").distinct(), "pairs")
-    found = components(links.union(copies).union(similar(rest, texts_open, size, percent)))
     component = F.coalesce("component", "doc_id")
     return (
         signed.select("doc_id", F.col("n").alias("n_shingles"))
