@@ -107,3 +107,12 @@ def test_query(spark, tmp_path, case):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     want = [(a, b, c, len(e), hashlib.sha256(",".join(e).encode()).hexdigest(), f) for a, b, c, e, f in brute(docs, items)]
     assert rows(queries.op1_decontamination(spark, str(tmp_path))) == sorted(want, key=repr)
+
+
+def test_words_are_cut_not_extracted_one_by_one(spark):
+    texts = [None, "", " ", "a", " A b", "a\x00b\x7fc ", "x1-2_3 \u00e9\u00c9 \u65e5\u672c\xa0z\U0001f600.", "\r\n,.", "Aa " * 3 + "\u0130"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    lowered = lambda t: (t or "").translate({c: c + 32 for c in range(65, 91)})
+    got = docs.select("i", d.words(docs["t"]).alias("w")).orderBy("i")
+    assert [r["w"] for r in got.collect()] == [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t)) for t in texts]
+    assert "regexp_extract_all" not in got._jdf.queryExecution().toString()
