@@ -99,3 +99,21 @@ def test_long_texts_empty_tables_and_other_columns(spark):
     got = collocations.collocations(docs).collect()
     assert sorted(map(tuple, got)) == by_hand([r[:3] for r in rows])
     assert collocations.collocations(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_stripes_of_a_slice(monkeypatch):
+    hashed = []
+    word_hashes = collocations._word_hashes
+    monkeypatch.setattr(collocations, "_word_hashes", lambda data, starts, *rest: hashed.append(len(starts)) or word_hashes(data, starts, *rest))
+    full = np.full((1 << collocations.SIEVE_BITS) // 8, 255, np.uint8)
+    data = b"a b c a b a\n" * 1000
+    assert len(list(collocations.common_runs(data, 2, full, np.uint64(1)))) == 5000
+    assert hashed == [3]  # each distinct word once
+    rows = collocations._stripes("en", data, 2, full, {}).to_pylist()
+    got = {(r["prefix"], r["part"], w): n for r in rows for w, n in zip(r["next"], r["count"])}
+    assert got == {("a", 0, "b"): 2000, ("b", 0, "a"): 1000, ("b", 0, "c"): 1000, ("c", 0, "a"): 1000} and len(rows) == 3
+    monkeypatch.setattr(collocations, "SEGMENT", 1)
+    rows = collocations._stripes("en", data, 3, full, {("en", "a b"): 2, ("en", "b c"): 5, ("fr", "b a"): 3}).to_pylist()
+    got = {(r["prefix"], tuple(r["next"])): (r["count"], r["part"]) for r in rows}
+    part = lambda word, n: collocations.crc32(word) % n
+    assert got == {("a b", ("a",)): ([1000], part(b"a", 2)), ("a b", ("c",)): ([1000], part(b"c", 2)), ("b c", ("a",)): ([1000], part(b"a", 5)), ("c a", ("b",)): ([1000], 0)}

@@ -40,10 +40,10 @@ TOP = 2_000
 COVERED_PERCENT = 50
 SIEVE_BITS = 27
 SHARES = 2_000
-#: Entries a task counts before it sends its stripes, entries in one segment, and bytes of text at once.
+#: Words a task counts before it sends them, entries in one segment, and characters of text at once.
 ENTRIES = 300_000
 SEGMENT = 512
-SLICE = 1 << 20
+SLICE = 1 << 22
 #: Parts of a language's phrases that are ranked apart first.
 RANK_PARTS = 64
 
@@ -118,20 +118,28 @@ def _passes(bits: np.ndarray, runs: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def common_runs(data: bytes, size: int, bits: np.ndarray, seed: np.uint64) -> Iterator[tuple[bytes, ...]]:
-    """Runs of ``size`` words in one piece whose first and last ``size - 1`` words pass the sieve."""
-    words, codes = data.split(), np.frombuffer(data, np.uint8)
-    if len(words) < size:
-        return iter(())
-    starts, ends = word_spans(codes, _SPACES)
-    hashes = runs = _word_hashes(codes, starts, ends, seed)
+def _common_places(data: bytes, size: int, bits: np.ndarray, seed: np.uint64) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words, the number of each word in turn, and where runs of ``size`` words start that lie
+    in one piece and whose first and last ``size - 1`` words pass the sieve."""
+    coded = pa.array(data.split(), pa.binary()).dictionary_encode()
+    known, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    if len(ids) < size:
+        return known, ids, np.empty(0, np.int64)
+    codes = np.frombuffer(data, np.uint8)
+    listed = np.frombuffer(b" ".join(known.to_pylist()), np.uint8)
+    hashes = runs = _word_hashes(listed, *word_spans(listed, _SPACES), seed)[ids]
     for k in range(1, size - 1):
         runs = _longer(runs[:-1], hashes[k:])
     good = _passes(bits, runs)
-    piece = np.cumsum(codes == 10, dtype=np.int32)[starts]
+    piece = np.cumsum(codes == 10, dtype=np.int32)[word_spans(codes, _SPACES)[0]]
     good = good[:-1] & good[1:] & (piece[: len(piece) - size + 1] == piece[size - 1 :])
-    at = np.flatnonzero(good)
-    return zip(*(map(words.__getitem__, (at + k).tolist()) for k in range(size)))
+    return known, ids, np.flatnonzero(good)
+
+
+def common_runs(data: bytes, size: int, bits: np.ndarray, seed: np.uint64) -> Iterator[tuple[bytes, ...]]:
+    """The words of the runs at ``_common_places``, in turn."""
+    known, ids, at = _common_places(data, size, bits, seed)
+    return zip(*(known.take(pa.array(ids[at + k])).to_pylist() for k in range(size)))
 
 
 def _by_language(batch: pa.RecordBatch) -> dict[str, list[str]]:
@@ -168,36 +176,40 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def _segments(lang: str, seen: Counter, parts_of: dict[tuple[str, str], int]) -> Iterator[tuple]:
-    """Rows of STRIPE from counted runs of words."""
-    stripes: dict[tuple, list] = defaultdict(list)
-    for run, count in seen.items():
-        stripes[run[:-1]].append((run[-1], count))
-    for words, entries in stripes.items():
-        prefix = b" ".join(words).decode("utf-8", "surrogatepass")
-        parts = parts_of.get((lang, prefix), 1)
-        split = defaultdict(list)
-        if parts > 1:
-            for entry in entries:
-                split[crc32(entry[0]) % parts].append(entry)
-        else:
-            split[0] = entries
-        for part, own in split.items():
-            for at in range(0, len(own), SEGMENT):
-                yield lang, prefix, part, own[at : at + SEGMENT]
-
-
-def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    entries = [e for row in rows for e in row[3]]
-    ends = pa.array(np.cumsum([0, *(len(row[3]) for row in rows)]), pa.int32())
-    words = pa.array([w for w, _ in entries], pa.binary()).cast(pa.string())
+def _stripes(lang: str, data: bytes, size: int, bits: np.ndarray, parts_of: dict[tuple[str, str], int]) -> pa.RecordBatch:
+    """Rows of STRIPE from the common runs of ``size`` words in one slice."""
+    known, ids, at = _common_places(data, size, bits, _seed(lang))
+    width, prefix = max(len(known), 1), ids[at]
+    for k in range(1, size - 1):
+        # Numbered anew, so that any number of words fits into 64 bits.
+        prefix = np.unique(prefix * width + ids[at + k], return_inverse=True)[1]
+    runs, first, count = np.unique(prefix * width + ids[at + size - 1], return_index=True, return_counts=True)
+    stripe, after, first = runs // width, runs % width, at[first]
+    part = np.zeros(len(runs), np.int64)
+    word = lambda numbers: known.take(pa.array(numbers)).cast(pa.string())
+    words_of = lambda places: pc.binary_join_element_wise(*(word(ids[places + k]) for k in range(size - 1)), " ")
+    starts = np.flatnonzero(np.diff(stripe, prepend=-1))
+    heavy = [(prefix, n) for (own, prefix), n in parts_of.items() if own == lang and n > 1]
+    if heavy and len(runs):
+        found = pc.index_in(words_of(first[starts]), value_set=pa.array([p for p, _ in heavy], pa.string()))
+        ends = np.append(starts[1:], len(runs))
+        for k in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            own = slice(starts[k], ends[k])
+            part[own] = [crc32(w) % heavy[found[k].as_py()][1] for w in known.take(pa.array(after[own])).to_pylist()]
+        order = np.lexsort((part, stripe))
+        stripe, after, first, count, part = (x[order] for x in (stripe, after, first, count, part))
+        starts = np.flatnonzero((np.diff(stripe, prepend=-1) != 0) | (np.diff(part, prepend=0) != 0))
+    # Long stripes are cut into segments.
+    place = np.arange(len(runs)) - np.repeat(starts, np.diff(np.append(starts, len(runs))))
+    starts = np.flatnonzero(place % SEGMENT == 0)
+    offsets = pa.array(np.append(starts, len(runs)), pa.int32())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([r[0] for r in rows], pa.string()),
-            pa.array([r[1] for r in rows], pa.string()),
-            pa.array([r[2] for r in rows], pa.int32()),
-            pa.ListArray.from_arrays(ends, words),
-            pa.ListArray.from_arrays(ends, pa.array([c for _, c in entries], pa.int64())),
+            pa.array([lang] * len(starts), pa.string()),
+            words_of(first[starts]),
+            pa.array(part[starts], pa.int32()),
+            pa.ListArray.from_arrays(offsets, word(after)),
+            pa.ListArray.from_arrays(offsets, pa.array(count, pa.int64())),
         ],
         ["lang", "prefix", "part", "next", "count"],
     )
@@ -240,26 +252,25 @@ def extensions(docs: DataFrame, common: DataFrame, size: int, words: int, least:
 
     def striped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(bits.value, np.uint8)
-        counts: dict[str, Counter] = defaultdict(Counter)
+        texts: dict[str, list[str]] = defaultdict(list)
 
         def sent() -> Iterator[pa.RecordBatch]:
-            rows: list[tuple] = []
-            for lang, seen in counts.items():
-                for row in _segments(lang, seen, parts_of):
-                    rows.append(row)
-                    if len(rows) >= 5_000:
-                        yield _as_batch(rows)
-                        rows = []
-            if rows:
-                yield _as_batch(rows)
-            counts.clear()
-
+            for lang, own in texts.items():
+                for data in slices(own):
+                    rows = _stripes(lang, data, size, held, parts_of)
+                    for at in range(0, rows.num_rows, 5_000):
+                        yield rows.slice(at, 5_000)
+            texts.clear()
+
+        waiting = 0
         for batch in batches:
-            for lang, texts in _by_language(batch).items():
-                for data in slices(texts):
-                    counts[lang].update(common_runs(data, size, held, _seed(lang)))
-                    if sum(map(len, counts.values())) >= ENTRIES:
-                        yield from sent()
+            # Gathered over batches, so that slices of rare languages are long as well.
+            for lang, own in _by_language(batch).items():
+                texts[lang] += own
+                waiting += sum(map(len, own))
+            if waiting >= SLICE:
+                yield from sent()
+                waiting = 0
         yield from sent()
 
     key = ["lang", "prefix", "part"]
