@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers as tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -118,3 +119,16 @@ def test_one_pass_for_both(spark, library):
     apart = bpe.decode(bpe.encode(docs, RANKS_PATH, tokenizers.PATTERN), RANKS_PATH).select(both.columns)
     assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
     assert bpe.round_trip(docs.where("doc_id = 9"), RANKS_PATH, tokenizers.PATTERN).collect() == []
+
+
+def test_a_task_encodes_slices_and_leaves_no_memo_behind(library, monkeypatch):
+    monkeypatch.setattr(bpe.SparkFiles, "get", lambda name: RANKS_PATH)
+    bpe._tables.cache_clear()
+    texts = [f" unheard{i} of words{i}, é日" for i in range(2 * bpe.SLICE + 7)]
+    batches = [pa.array(texts, pa.string()), pa.array([], pa.string()), pa.array(["", None, "a b"], pa.string())]
+    got = list(bpe._encoder("ranks", tokenizers.PATTERN, "array<int>", both=False).func(iter(batches)))
+    assert [len(x) for x in got] == [bpe.SLICE, bpe.SLICE, 7, 3]
+    assert [ids for x in got for ids in x.to_pylist()] == [library.encode_ordinary(t) for t in [*texts, "", "", "a b"]]
+    memo, _ = bpe._tables("ranks")
+    assert not memo and not memo.older and not memo.bpe.apart
+    bpe._tables.cache_clear()

@@ -22,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces kept in each of two generations, of which the older goes with its task, and pairs of tokens.
+# Pieces kept in each of two generations, and pairs of tokens; both go with their task.
 MEMO_PIECES = 150_000
 MEMO_PAIRS = 250_000
 # Longer pieces are not kept, so that the memo is bounded in bytes too.
@@ -31,6 +31,8 @@ KEPT_CHARS = 64
 BLOCK_PIECES = 400_000
 # A text of more characters is split block by block.
 LONG_TEXT = 2_000_000
+# Texts of a batch that are encoded at once: ids and bytes of a whole batch are several times its size.
+SLICE = 250
 NEVER = 1 << 60
 
 # The usual split pattern written for ``re``, which is faster than ``regex``. Both cut alike where a
@@ -164,6 +166,12 @@ class Memo(dict):
     def __init__(self, bpe: PrefixBpe, limit: int = MEMO_PIECES):
         self.bpe, self.limit, self.older = bpe, limit, {}
 
+    def forget(self) -> None:
+        """Drop all pieces, and the pairs that the encoder has judged."""
+        self.clear()
+        self.older = {}
+        self.bpe.apart.clear()
+
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.older.get(piece)
         if ids is None:
@@ -269,7 +277,7 @@ class EditableEncoding:
 
 @lru_cache(maxsize=1)
 def _tables(ranks_file: str) -> tuple[Memo, TokenBytes]:
-    """What a Python worker keeps from task to task: the vocabulary and a bounded memo."""
+    """What a Python worker keeps from task to task: the vocabulary, and a memo that each task leaves empty."""
     ranks = read_ranks(SparkFiles.get(ranks_file))
     return Memo(PrefixBpe(ranks)), TokenBytes(ranks)
 
@@ -286,7 +294,7 @@ def _encoder(ranks_file: str, pattern: str, returns: str, both: bool):
         memo, token_bytes = _tables(ranks_file)
         pieces = splitter(pattern)
         try:
-            for texts in batches:
+            for texts in (batch.slice(at, SLICE) for batch in batches for at in range(0, len(batch), SLICE)):
                 rows = [encode_text(text.as_py(), pieces, memo) for text in texts]
                 ends = np.cumsum([0, *map(len, rows)])
                 flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
@@ -297,8 +305,9 @@ def _encoder(ranks_file: str, pattern: str, returns: str, both: bool):
                 decoded = [token_bytes.decode(row) for row in rows]
                 yield pa.StructArray.from_arrays([ids, pa.array(decoded, pa.binary())], ["ids", "decoded"])
         finally:
-            # The worker may live on with other work.
-            memo.older = {}
+            # The worker may live on with other work, or idle beside it.
+            memo.forget()
+            pa.default_memory_pool().release_unused()
 
     return coded
 
