@@ -132,3 +132,27 @@ def test_a_task_encodes_slices_and_leaves_no_memo_behind(library, monkeypatch):
     memo, _ = bpe._tables("ranks")
     assert not memo and not memo.older and not memo.bpe.apart
     bpe._tables.cache_clear()
+
+
+def test_a_task_encodes_a_piece_once_while_the_memo_holds_it():
+    class Counting:
+        calls = 0
+
+        def encode(self, piece):
+            self.calls += 1
+            return [len(piece)]
+
+    memo, words = bpe.Memo(Counting()), [f" w{i}" for i in range(250_000)]
+    for _ in range(3):
+        assert bpe.encode_text("any", lambda text: [words], memo).tolist() == list(map(len, words))
+    assert memo.bpe.calls == len(words)
+
+
+def test_the_fast_pattern_cuts_every_common_character_alike():
+    import regex
+
+    exact, common = regex.compile(tokenizers.PATTERN), [c for c in map(chr, range(0x300)) if not bpe.UNCOMMON.search(c)]
+    assert tokenizers.PATTERN == bpe.FAST_FOR and len(common) > 500
+    sides = ["", " ", "a", "é", "1", ".", "'", "'ll", "\n", "\xa0"]
+    for text in (a + c + b + c + c + " " + c for c in common for a in sides for b in sides):
+        assert bpe.FAST_PATTERN.findall(text) == [m.group() for m in exact.finditer(text)]
