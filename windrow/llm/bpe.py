@@ -4,6 +4,7 @@ For every prefix of a piece of bytes exactly one token can end its encoding: the
 predecessor, the last token of the prefix before ``t``, stays apart from ``t`` when the two are
 merged alone. A table of these last tokens grows byte by byte, so an append continues it and an
 edit recomputes it only until it agrees with the old one again. The encoding is read off backwards.
+For a short piece only those prefixes are settled that the last token asks for, from the end.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Pieces kept in each of two generations, and pairs of tokens; both go with their task.
-MEMO_PIECES = 300_000
+MEMO_PIECES = 200_000
 MEMO_PAIRS = 250_000
 # Longer pieces are not kept, so that the memo is bounded in bytes too.
 KEPT_CHARS = 64
+# Pieces of at most so many bytes are encoded from their end.
+SHORT = 32
 # Pieces of a long text that are held at once.
 BLOCK_PIECES = 400_000
 # A text of more characters is split block by block.
@@ -136,6 +139,28 @@ class PrefixBpe:
             raise ValueError("a byte has no token in this vocabulary")
         return table
 
+    def settle(self, piece: bytes, end: int, table: list[int]) -> int:
+        """The last token of the prefix of ``end`` bytes. Fills ``table``, -1 where it is unknown, for that
+        prefix and those before it that decide on it."""
+        rank_of, judged = self.ranks.get, self.apart.get
+        for at in range(end):
+            token = rank_of(piece[at:end])
+            if token is None:
+                continue
+            if at:
+                left = table[at - 1]
+                if left < 0:
+                    left = self.settle(piece, at, table)
+                known = judged(left << 20 | token)
+                if known or known is None and self.stays_apart(left, token):
+                    break
+            elif self.growth(token) is not None:
+                break
+        else:
+            raise ValueError("a byte has no token in this vocabulary")
+        table[end - 1] = token
+        return token
+
     def read_back(self, table: list[int]) -> list[int]:
         """The tokens of the longest prefix in ``table``."""
         out, at = [], len(table)
@@ -147,7 +172,13 @@ class PrefixBpe:
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else self.read_back(self.extend(piece, []))
+        if whole is not None:
+            return [whole]
+        if not 0 < len(piece) <= SHORT:
+            return self.read_back(self.extend(piece, []))
+        table = [-1] * len(piece)
+        self.settle(piece, len(piece), table)
+        return self.read_back(table)
 
 
 def splitter(pattern: str):
