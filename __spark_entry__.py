@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -721,9 +722,9 @@ def q_group_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cogroup_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def attach_status(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        status = right["status"].iloc[0] if len(right) else None
-        return left.assign(status=status)
+    def attach_status(left: pa.Table, right: pa.Table) -> pa.Table:
+        status = right["status"][0] if right.num_rows else pa.scalar(None, right.schema.field("status").type)
+        return left.append_column("status", pa.repeat(status, left.num_rows))
 
     items = _table(spark, sf_dir, "lineitem")
     left = items.select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line"))
@@ -736,6 +737,7 @@ def q_cogroup_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         attach_status,
         "key long, line int, status string",
         per_left_row=True,
+        arrow=True,
     )
 
 

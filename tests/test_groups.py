@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import plan, values
 from pyspark.sql import functions as F
@@ -406,3 +407,84 @@ def test_cogroup_fn_matching_one_value_of_many_rows(spark):
         per_left_row=True, per_right_row=True, max_rows=100, matching=["x"],
     )
     assert got.count() == got.distinct().count() == 150_000
+
+
+def test_cogroup_fn_over_arrow_tables(spark):
+    """A call per key with the tables that Spark's own cogroup gives, whatever the batches."""
+    left = spark.sql(
+        "select if(id % 7 = 0, null, id % 7) as k, if(id % 4 = 0, null, concat('é', id % 3)) as n, if(id % 3 = 0, null, 9007199254740993 + id) as v,"
+        " if(id % 2 = 0, null, id % 4 = 1) as b, timestamp_seconds(id) as at, array(id) as l from range(60)"
+    )
+    right = spark.sql("select cast(if(id % 5 = 0, null, id) as int) as w, if(id % 9 = 0, null, id % 9) as k, if(id % 2 = 0, null, 'é1') as n from range(30)")
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(a, b):
+        calls.add(1)
+        held = [str(t.schema.types) + str(t.column_names) + str(sorted(map(str, t.to_pylist()))) for t in (a, b)]
+        return pa.table({"a": [held[0]], "b": [held[1]]})
+
+    schema = "a string, b string"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for keys, count in ((["k"], 9), (["n"], 4), (["n", "k"], left.select("n", "k").union(right.select("n", "k")).distinct().count())):
+            got = cogroup_fn(left, right, keys, seen, schema, arrow=True)
+            assert "MapInArrow" in plan(got) and "CoGroup" not in plan(got)
+            calls.value = 0
+            rows = values(got)
+            assert calls.value == len(rows) == count
+            assert rows == values(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(seen, schema))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # A key of another type takes Spark's cogroup.
+    times = left.withColumnRenamed("at", "t"), right.selectExpr("timestamp_seconds(w) as t", "w")
+    assert cogroup_fn(*times, ["t"], seen, schema, arrow=True).count() == 61
+
+
+def test_cogroup_fn_output_of_arrow_tables(spark):
+    left, right = spark.range(25).selectExpr("id % 5 as k", "cast(id as int) as a"), spark.range(3).selectExpr("id as k", "id as b")
+
+    def ran(fn, schema="k long, a long, none string"):
+        return cogroup_fn(left, right, ["k"], fn, schema, arrow=True)
+
+    def wide(a, b):
+        # Columns in another order, of types that are cast.
+        return pa.table({"none": pa.nulls(a.num_rows), "a": a["a"], "k": a["k"]}) if b.num_rows else pa.table({})
+
+    assert sorted(tuple(r) for r in ran(wide).select("k", "a").collect()) == sorted((i % 5, i) for i in range(25) if i % 5 < 3)
+    assert ran(wide).where("none is not null").count() == 0
+    assert ran(lambda a, b: pa.table({})).collect() == []
+    with pytest.raises(Exception, match="returned columns"):
+        ran(lambda a, b: a).collect()
+    with pytest.raises(Exception, match="an Arrow table"):
+        ran(lambda a, b: a.to_pandas()).collect()
+    with pytest.raises(Exception, match="not in range|out of bounds|overflow"):
+        ran(lambda a, b: a.append_column("x", pa.array([2**40] * a.num_rows)), "k long, a int, x int").collect()
+
+
+def test_cogroup_fn_cuts_arrow_tables(spark):
+    def match(a, b):
+        assert a.num_rows <= 400 and b.num_rows <= 400 and a.column_names == ["k", "x", "a"] and b.column_names == ["k", "x", "b"]
+        return a.join(b.drop_columns("k"), "x", join_type="inner")
+
+    left = spark.range(1_000).selectExpr("if(id < 900, 1, id) as k", "id % 50 as x", "id as a")
+    right = spark.range(800).selectExpr("if(id < 350, 1, id + 200) as k", "id % 50 as x", "id as b")
+    expected = values(left.join(right, ["k", "x"]).select("k", "x", "a", "b"))
+    assert len(expected) > 5_000
+    for how in ({}, {"per_right_row": True}, {"per_right_row": True, "matching": ["x"]}):
+        limit = {"max_rows": 100} if how else {"max_rows": 400}
+        got = cogroup_fn(left, right, ["k"], match, "k long, x long, a long, b long", per_left_row=True, arrow=True, **limit, **how)
+        assert values(got) == expected
+
+
+def test_cogroup_fn_query_builds_no_pandas_frame_per_key(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    lines = "l_orderkey long, l_linenumber int"
+    orders = "o_orderkey long, o_orderstatus string"
+    spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1), (3, None), (None, 7)], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "O"), (3, "F"), (2, None), (4, "P")], orders).write.parquet(f"{tmp_path}/orders.parquet")
+    got = entry.queries()["cogroup_fn"](spark, str(tmp_path))
+    assert "MapInArrow" in plan(got) and "MapInPandas" not in plan(got)
+    rows = {(r["key"], r["line"], r["status"]): 0 for r in got.collect()}
+    assert rows.keys() == {(1, 1, "O"), (1, 2, "O"), (2, 1, None), (3, None, "F"), (None, 7, None)}
+    assert got.count() == 6 and got.dtypes == [("key", "bigint"), ("line", "int"), ("status", "string")]

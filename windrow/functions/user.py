@@ -3,7 +3,8 @@
 Functions see pandas data in Arrow batches. ``group_fn`` and ``cogroup_fn`` hold
 a whole group in one task. Groups are sliced where the arguments say that the
 function allows it, and refused only where ``max_rows`` asks for that.
-``group_batches_fn`` reads a group of any size in batches.
+``group_batches_fn`` reads a group of any size in batches. ``cogroup_fn`` also
+takes functions over Arrow tables, which cost far less a call than pandas.
 """
 
 from __future__ import annotations
@@ -14,8 +15,11 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DataType, IntegralType, StringType, StructType
 
 from windrow.operators.skew import (
@@ -37,6 +41,9 @@ from windrow.operators.skew import (
 # Rows of a function's output that are handed on together.
 BATCH_ROWS = 10_000
 
+# A function over a key's left rows and right rows, both pandas frames or both Arrow tables.
+CogroupFn = Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame] | Callable[[pa.Table, pa.Table], pa.Table]
+
 
 def flat_map_fn(
     df: DataFrame,
@@ -155,15 +162,20 @@ def cogroup_fn(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    fn: CogroupFn,
     schema: StructType | str,
     per_left_row: bool = False,
     max_rows: int | None = None,
     per_right_row: bool = False,
     matching: Sequence[str] = (),
+    arrow: bool = False,
 ) -> DataFrame:
     """A function over the left rows and the right rows of each key.
 
+    With ``arrow`` the function takes and returns Arrow tables, as in Spark's ``applyInArrow``, and
+    its columns are cast to the schema's types. It is called once per key in the same way, but a
+    call costs a small part of one with pandas frames, which tells where keys are many and small.
+
     ``per_left_row`` says that the output is the union of the outputs for single
     left rows. With it, left keys of more than ``max_rows`` (by default
     ``MAX_GROUP_ROWS``) rows run in slices, each with a copy of the key's right
@@ -188,35 +200,45 @@ def cogroup_fn(
             raise ValueError("per_right_row needs per_left_row")
         limit = max_rows or MAX_GROUP_ROWS
         if matching:
-            return _cogroup_matching(left, right, keys, fn, schema, limit, matching)
-        return _cogroup_slices(left, right, keys, fn, schema, limit)
+            return _cogroup_matching(left, right, keys, fn, schema, limit, matching, arrow)
+        return _cogroup_slices(left, right, keys, fn, schema, limit, arrow)
     if max_rows is not None and heavy_keys(right, keys, max_rows) is not None:
         raise ValueError(f"a right key has more than {max_rows} rows")
     if max_rows is None and not per_left_row:
-        return _cogrouped(left, right, keys, fn, schema)
+        return _cogrouped(left, right, keys, fn, schema, arrow)
     heavy = heavy_keys(left, keys, max_rows or MAX_GROUP_ROWS)
     if heavy is None:
-        return _cogrouped(left, right, keys, fn, schema)
+        return _cogrouped(left, right, keys, fn, schema, arrow)
     if not per_left_row:
         raise ValueError(f"a left key has more than {max_rows} rows")
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return fn(a.drop(columns="_slice"), b.drop(columns="_slice"))
-
     every_slice = F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias("_slice")
     copied = with_slices(right, keys, heavy).select(*right.columns, every_slice)
     sliced = _sliced(left, keys, heavy)
-    return _cogrouped(sliced, copied, [*keys, "_slice"], run, schema)
+    return _cogrouped(sliced, copied, [*keys, "_slice"], _without(["_slice"], fn, arrow), schema, arrow)
+
+
+def _without(columns: list[str], fn: CogroupFn, arrow: bool) -> CogroupFn:
+    """The function over rows without the given columns."""
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return fn(a.drop(columns=columns), b.drop(columns=columns))
+
+    def run_arrow(a: pa.Table, b: pa.Table) -> pa.Table:
+        return fn(a.drop_columns(columns), b.drop_columns(columns))
+
+    return run_arrow if arrow else run
 
 
 def _cogroup_matching(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    fn: CogroupFn,
     schema: StructType | str,
     max_rows: int,
     matching: Sequence[str],
+    arrow: bool,
 ) -> DataFrame:
     """Cogroup by parts of a key that agree in a hash of the matching columns."""
     for c in matching:
@@ -226,23 +248,20 @@ def _cogroup_matching(
     heavy = common_slices(left, right, keys, max_rows, max_rows / 2)
     part = slice_of(list(matching), F.col(SLICES)).alias("_part")
     sides = [with_slices(df, keys, heavy).select(*df.columns, part) for df in (left, right)]
-    cells = [*keys, "_part"]
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return fn(a.drop(columns="_part"), b.drop(columns="_part"))
-
+    cells, run = [*keys, "_part"], _without(["_part"], fn, arrow)
     if all(heavy_keys(side, cells, max_rows) is None for side in sides):
-        return _cogrouped(*sides, cells, run, schema)
-    return _cogroup_slices(*sides, cells, run, schema, max_rows)
+        return _cogrouped(*sides, cells, run, schema, arrow)
+    return _cogroup_slices(*sides, cells, run, schema, max_rows, arrow)
 
 
 def _cogroup_slices(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    fn: CogroupFn,
     schema: StructType | str,
     max_rows: int,
+    arrow: bool,
 ) -> DataFrame:
     """Cogroup by pairs of slices: each side's slices go to all slices of the other side's key."""
     heavy = [heaviest_keys(side, keys, max_rows) for side in (left, right)]
@@ -256,12 +275,9 @@ def _cogroup_slices(
         every = F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1)).alias(names[1])
         return with_slices(placed, keys, other).select(*df.columns, names[0], every)
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return fn(a.drop(columns=["_left", "_right"]), b.drop(columns=["_left", "_right"]))
-
     lefts = cut(left, heavy[0], heavy[1], ("_left", "_right"))
-    rights = cut(right, heavy[1], heavy[0], ("_right", "_left"))
-    return _cogrouped(lefts, rights.select(*right.columns, "_left", "_right"), cells, run, schema)
+    rights = cut(right, heavy[1], heavy[0], ("_right", "_left")).select(*right.columns, "_left", "_right")
+    return _cogrouped(lefts, rights, cells, _without(["_left", "_right"], fn, arrow), schema, arrow)
 
 
 def _whole(kind: DataType) -> bool:
@@ -278,20 +294,25 @@ def _cogrouped(
     left: DataFrame,
     right: DataFrame,
     by: Sequence[str],
-    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    fn: CogroupFn,
     schema: StructType | str,
+    arrow: bool,
 ) -> DataFrame:
     """The function over each key's rows of both sides.
 
     Spark's own cogroup starts two Arrow streams per key, which costs far more than small groups
     do. Here both sides go through one sorted stream, a task reads it in batches of many keys, and
     cuts them to keys. A key's rows are whole in one call, with a column's pandas type as if they
-    came alone: whole numbers and truth values travel without nulls, beside marks for them.
+    came alone: whole numbers and truth values travel without nulls, beside marks for them. Arrow
+    tables have no need of those.
     """
     kinds = [left.schema[k].dataType for k in by]
     plain = all(isinstance(k, IntegralType) or k in (StringType(), BooleanType()) for k in kinds)
     if not plain or kinds != [right.schema[k].dataType for k in by] or len(inspect.signature(fn).parameters) != 2:
-        return spread(left, *by).groupBy(*by).cogroup(spread(right, *by).groupBy(*by)).applyInPandas(fn, schema)
+        groups = spread(left, *by).groupBy(*by).cogroup(spread(right, *by).groupBy(*by))
+        return groups.applyInArrow(fn, schema) if arrow else groups.applyInPandas(fn, schema)
+    if arrow:
+        return _cogrouped_arrow(left, right, by, fn, schema)
 
     sides = (left, right)
     order = [n for i in range(len(by)) for n in (f"k{i}_null", f"k{i}")]
@@ -370,6 +391,107 @@ def _cogrouped(
     return rows.mapInPandas(run, schema)
 
 
+def _cogrouped_arrow(
+    left: DataFrame,
+    right: DataFrame,
+    by: Sequence[str],
+    fn: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: StructType | str,
+) -> DataFrame:
+    """Like ``_cogrouped`` over Arrow tables. Both sides share the key columns of the stream."""
+    sides = (left, right)
+    order = [f"k{i}" for i in range(len(by))]
+
+    def tagged(side: int) -> DataFrame:
+        out = [F.col(k).alias(n) for k, n in zip(by, order)] + [F.lit(side).alias("side")]
+        for s, df in enumerate(sides):
+            for i, f in enumerate(df.schema.fields):
+                if f.name not in by:
+                    value = F.col(f.name) if s == side else F.lit(None).cast(f.dataType)
+                    out.append(value.alias(f"s{s}_{i}"))
+        return sides[side].select(*out)
+
+    rows = spread(tagged(0).unionAll(tagged(1)), *order).sortWithinPartitions(*order, "side")
+    names = [df.columns for df in sides]
+    found = [[order[by.index(n)] if n in by else f"s{s}_{i}" for i, n in enumerate(own)] for s, own in enumerate(names)]
+    large = left.sparkSession.conf.get("spark.sql.execution.arrow.useLargeVarTypes") == "true"
+    want = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    want = to_arrow_schema(want, prefers_large_types=large)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Table, pa.Table]]:
+        """Whether a new key starts, and its rows of each side, as far as a batch has them."""
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = np.zeros(batch.num_rows, bool)
+            starts[0] = last is None
+            for n in order:
+                v = batch.column(n)
+                if last is None:
+                    starts[1:] |= _changes(v)
+                else:
+                    starts |= _changes(pa.concat_arrays([last.column(n), v]))
+            last = batch.slice(batch.num_rows - 1)
+            a, b = (pa.table([batch.column(c) for c in found[s]], names=names[s]) for s in (0, 1))
+            at = np.unique(np.append(np.flatnonzero(starts), 0))
+            # A key's left rows come before its right rows.
+            lefts = np.add.reduceat(batch.column("side").to_numpy() == 0, at, dtype=np.int64)
+            ends = np.append(at[1:], batch.num_rows)
+            for new, first, n, end in zip(starts[at].tolist(), at.tolist(), lefts.tolist(), ends.tolist()):
+                yield new, a.slice(first, n), b.slice(first + n, end - first - n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.Table, pa.Table]] = []
+        done: list[pa.Table] = []
+        size = 0
+
+        def call() -> int:
+            a, b = held[0] if len(held) == 1 else (pa.concat_tables([h[s] for h in held]) for s in (0, 1))
+            held.clear()
+            out = _in_schema(fn(a, b), want)
+            if out.num_rows:
+                done.append(out)
+            return out.num_rows + 1
+
+        def joined() -> list[pa.RecordBatch]:
+            return pa.concat_tables(done).combine_chunks().to_batches(BATCH_ROWS) if done else []
+
+        for new, a, b in cut(batches):
+            if new and held:
+                size += call()
+            held.append((a, b))
+            if size >= BATCH_ROWS:
+                yield from joined()
+                done.clear()
+                size = 0
+        if held:
+            call()
+        yield from joined()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _changes(v: pa.Array) -> np.ndarray:
+    """Whether a value differs from the one before it, from the second on; nulls are equal."""
+    gone = v.is_null()
+    differ = pc.fill_null(pc.not_equal(v[1:], v[:-1]), False)
+    return pc.or_(differ, pc.not_equal(gone[1:], gone[:-1])).to_numpy(zero_copy_only=False)
+
+
+def _in_schema(out: pa.Table, want: pa.Schema) -> pa.Table:
+    """A function's output with the columns of the schema, by name, and their types."""
+    if not isinstance(out, pa.Table):
+        raise TypeError(f"the function must return an Arrow table, not {type(out).__name__}")
+    if out.schema.equals(want):
+        return out
+    if not out.num_columns and not out.num_rows:
+        return want.empty_table()
+    if sorted(out.column_names) != sorted(want.names):
+        raise ValueError(f"the function returned columns {out.column_names}, not {want.names}")
+    return out.select(want.names).cast(want)
+
+
 def _piece(own: pd.DataFrame, nulls: dict[int, np.ndarray], first: int, end: int) -> pd.DataFrame:
     """Some of one side's rows, numbered from 0, with the nulls put back."""
     piece = own.iloc[first:end]
